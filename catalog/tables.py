@@ -20,14 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier")
-    nations = table(spark, sf_dir, "nation")
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("l_suppkey"),
-        F.col("n_name").alias("State"),
-        F.col("s_name").alias("County"),
+def _named(spark: SparkSession, sf_dir: str, by_supplier: DataFrame) -> DataFrame:
+    """Add the names of a supplier (County) and its nation (State).
+
+    One plain table per join: Spark knows their sizes and broadcasts the small ones.
+    """
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", F.col("s_name").alias("County")
+    )
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("State")
     )
+    return by_supplier.join(suppliers, "l_suppkey").join(nations, "s_nationkey")
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +41,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         gap = (F.col("l_linenumber") == gap_line) & (F.col("l_discount") == 0)
         return F.avg(F.when(~gap, value.cast("bigint")))
 
-    hundredth = F.round(F.col("l_tax") * 100)
+    hundredth = F.rint(F.col("l_tax") * 100)
     items = table(spark, sf_dir, "lineitem").withColumn(
         "Date", F.col("l_shipdate").cast("date")
     )
@@ -46,10 +50,10 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         mean(F.col("l_quantity"), 7).alias("tmax"),
         (mean(F.col("l_quantity"), 6) - 10).alias("tmin"),
         mean(hundredth, 5).alias("precip"),
-        (mean(F.round(F.col("l_discount") * 100), 4) / 100).alias("swvl1"),
+        (mean(F.rint(F.col("l_discount") * 100), 4) / 100).alias("swvl1"),
         (mean(F.col("l_linenumber"), 3) / 20).alias("swvl2"),
     )
-    return daily.join(_counties(spark, sf_dir), "l_suppkey").select(
+    return _named(spark, sf_dir, daily).select(
         "State", "County", "Date", *schemas.MEASURES
     )
 
@@ -59,7 +63,7 @@ def state_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    cents = F.rint(F.col("o_totalprice") * 100).cast("bigint")
     totals = (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", F.year("o_orderdate").alias("Year"))
@@ -73,11 +77,11 @@ def state_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def county_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Year, State, County, yield) from the line items of a supplier."""
     items = table(spark, sf_dir, "lineitem")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     totals = items.groupBy("l_suppkey", F.year("l_shipdate").alias("Year")).agg(
         (F.avg(cents) / 100000).alias(schemas.LABEL)
     )
-    return totals.join(_counties(spark, sf_dir), "l_suppkey").select(
+    return _named(spark, sf_dir, totals).select(
         "Year", "State", "County", schemas.LABEL
     )
 

@@ -24,6 +24,7 @@ from cropweave.functions import (
     year_trend,
 )
 from cropweave.functions.agronomy import PLANTING_PROGRESS
+from cropweave.session import materialize
 
 VECTOR = "_features"
 TREND_WEATHER_FEATURES = (
@@ -61,13 +62,13 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def fit(
     estimator: Any, train: DataFrame, features: Sequence[str], label: str = schemas.LABEL
 ) -> Fitted:
-    """Fit on the rows that have a label."""
-    labelled = assemble(
-        train.dropna(subset=[label])
-        .withColumn(label, F.col(label).cast("double"))
-        .select(*features, label),
-        features,
-    )
+    """Fit on the rows that have a label.
+
+    A fit reads its rows several times, so they are computed once beforehand.
+    """
+    columns = [F.col(name).cast("double").alias(name) for name in (*features, label)]
+    rows = materialize(train.dropna(subset=[label]).select(*columns), "training")
+    labelled = assemble(rows, features)
     ready = estimator.copy(
         {estimator.featuresCol: VECTOR, estimator.labelCol: label}
     )

@@ -54,8 +54,7 @@ def compare_models(
 ) -> DataFrame:
     """Metrics of several models over one split.
 
-    Every fit reads the training matrix many times, so both sides are computed once
-    into the checkpoint folder first.
+    Both sides are computed once into the shared folder, not once per model.
     """
     columns = list(dict.fromkeys([*features, label]))
     train = materialize(train.select(*columns))

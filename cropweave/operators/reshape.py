@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from cropweave import schemas
@@ -37,17 +37,9 @@ def pivot_strict(
     value: str = "Value",
 ) -> DataFrame:
     """Long to wide over a fixed column list; a second row in a cell is an error."""
-
-    def cell(name: str):
-        hit = F.col(columns) == name
-        repeated = F.raise_error(F.lit(f"more than one row for cell {name}"))
-        return (
-            F.when(F.count_if(hit) > 1, repeated)
-            .otherwise(F.max(F.when(hit, F.col(value))))
-            .alias(name)
-        )
-
-    return _present(long, index, columns).groupBy(*index).agg(*map(cell, names))
+    repeated = F.raise_error(F.concat(F.lit("more than one row for "), F.first(columns)))
+    cell = F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(value))
+    return _pivoted(long, index, columns, names).agg(cell)
 
 
 def pivot_mean(
@@ -58,16 +50,18 @@ def pivot_mean(
     value: str = "Value",
 ) -> DataFrame:
     """Long to wide with the mean of each cell; rows without any value are dropped."""
-    cells = [
-        F.avg(F.when(F.col(columns) == name, F.col(value))).alias(name)
-        for name in names
-    ]
-    wide = _present(long, index, columns).groupBy(*index).agg(*cells)
-    return wide.dropna(how="all", subset=list(names))
+    # An index without a value is dropped by dropping its cells: a test over all the
+    # wide columns would make the optimizer try every combination of their aliases.
+    filled = long.dropna(subset=[value])
+    return _pivoted(filled, index, columns, names).agg(F.avg(value))
 
 
-def _present(long: DataFrame, index: Sequence[str], columns: str) -> DataFrame:
-    return long.dropna(subset=[*index, columns])
+def _pivoted(
+    long: DataFrame, index: Sequence[str], columns: str, names: Sequence
+) -> GroupedData:
+    # The value list is given, so the schema is fixed and no job looks for it.
+    present = long.dropna(subset=[*index, columns])
+    return present.groupBy(*index).pivot(columns, list(names))
 
 
 def spread_periods(
@@ -79,21 +73,26 @@ def spread_periods(
     prefix: str = "",
     drop_empty: bool = False,
 ) -> DataFrame:
-    """One row per (index, period) to one row per index, in a single shuffle.
+    """Rows per (index, period) to one row per index with ``<measure>_<period>`` columns.
 
-    This is unpivot, name and pivot at once: the measures stay columns and every
-    cell is a conditional aggregate, so no long table is built.
+    All measures are pivoted together, without a long table in between. Spark first
+    averages by (index, period), which is the grain such rows mostly have already,
+    and then moves one small row per cell.
     """
-    names = []
-    cells = []
-    for measure in measures:
-        for number in periods:
-            name = f"{measure}_{prefix}{number}"
-            names.append(name)
-            hit = F.col(period) == number
-            cells.append(F.avg(F.when(hit, F.col(measure))).alias(name))
-    wide = df.dropna(subset=[*index, period]).groupBy(*index).agg(*cells)
-    return wide.dropna(how="all", subset=names) if drop_empty else wide
+    if drop_empty:
+        df = df.dropna(how="all", subset=list(measures))
+    cells = [F.avg(name).alias(name) for name in measures]
+    # With a single aggregate Spark names the columns after the periods alone, so a
+    # second one is always there; it is pruned again.
+    wide = _pivoted(df, index, period, periods).agg(*cells, F.count(period).alias("_n"))
+    return wide.select(
+        *index,
+        *[
+            F.col(f"{number}_{name}").alias(f"{name}_{prefix}{number}")
+            for name in measures
+            for number in periods
+        ],
+    )
 
 
 def gather_periods(
