@@ -14,11 +14,14 @@ from catalog.tables import (
     county_yields,
     cte,
     panel,
+    stored_panel,
     with_ctes,
 )
 from cropweave import schemas
 from cropweave.operators import reshape
+from cropweave.operators.repair import fill_from_history
 from cropweave.plans import counties
+from cropweave.session import materialize
 
 KEYS = '"State", "County", "Year"'
 
@@ -50,7 +53,8 @@ JOIN county_yields y ON y."State" = f."State" AND y."County" = f."County"
 )
 def county_month_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County matrix with the last year's gaps filled, beside county yields."""
-    matrix = counties.county_month_matrix(panel(spark, sf_dir), TARGET_YEAR)
+    matrix = materialize(counties.county_month_matrix(panel(spark, sf_dir)), "matrix")
+    matrix = fill_from_history(matrix, TARGET_YEAR)
     dataset = counties.county_dataset(matrix, county_yields(spark, sf_dir))
     return rounded(dataset.select(*counties.COUNTY_YEAR, *MONTH_FEATURES, schemas.LABEL))
 
@@ -89,7 +93,7 @@ WHERE n_w = 31 OR w > max_w - 31
 )
 def county_week_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly arrays of every county-year, one row per week for comparison."""
-    arrays = counties.county_week_matrix(panel(spark, sf_dir))
+    arrays = counties.county_week_matrix(stored_panel(spark, sf_dir))
     weeks = arrays.select(
         *counties.COUNTY_YEAR, F.explode(F.arrays_zip("periods", *W)).alias("_w")
     )
@@ -119,4 +123,4 @@ SELECT {KEYS}, {r(*[f"{m}_W{n}" for m, n in _WIDE])} FROM (
 )
 def county_week_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as 310 columns, for tools that need a flat table."""
-    return rounded(counties.county_week_matrix(panel(spark, sf_dir), wide=True))
+    return rounded(counties.county_week_matrix(stored_panel(spark, sf_dir), wide=True))

@@ -15,6 +15,7 @@ from catalog.tables import (
     county_yields,
     panel,
     state_yields,
+    stored_panel,
     table,
     with_ctes,
 )
@@ -22,6 +23,7 @@ from cropweave import schemas
 from cropweave.models import metrics, regression, reports, scaling, splits
 from cropweave.operators.repair import fill_from_history
 from cropweave.plans.state_months import state_month_dataset
+from cropweave.session import materialize
 
 LABEL = schemas.LABEL
 SPLIT_SQL = f"""CASE WHEN "Year" <= {LAST_TRAIN_YEAR} THEN 'train' ELSE 'validation' END"""
@@ -103,7 +105,7 @@ FROM panel CROSS JOIN {_stats_sql(DAY_COLUMNS)}
     )
 )
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = panel(spark, sf_dir)
+    days = stored_panel(spark, sf_dir)
     return rounded(scaling.standard_scale(_train_days(days), days, DAY_COLUMNS))
 
 
@@ -117,7 +119,7 @@ FROM panel CROSS JOIN {_stats_sql(DAY_COLUMNS)}
     )
 )
 def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = panel(spark, sf_dir)
+    days = stored_panel(spark, sf_dir)
     return rounded(scaling.minmax_scale(_train_days(days), days, DAY_COLUMNS))
 
 
@@ -133,7 +135,7 @@ FROM panel CROSS JOIN {_stats_sql(["tmax"])}
 )
 def inverse_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scale one column with another one's statistics and take it back again."""
-    days = panel(spark, sf_dir)
+    days = stored_panel(spark, sf_dir)
     train = _train_days(days)
     as_label = days.select("State", "County", "Date", F.col("tmin").alias("tmax"))
     scaled = scaling.standard_scale(train, as_label, ["tmax"])
@@ -161,7 +163,7 @@ FROM season_weeks CROSS JOIN (
     )
 )
 def sequence_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = _samples(spark, sf_dir)
+    samples = materialize(_samples(spark, sf_dir), "samples")
     train = samples.filter(F.col("Year") < 2000)
     scaled = scaling.scale_sequences(train, samples, len(schemas.SEQUENCE_FEATURES))
     steps = scaled.select("Year", "State", F.posexplode("features").alias("_pos", "_step"))
@@ -252,7 +254,7 @@ FROM ols
     )
 )
 def ols_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weather_model_rows(spark, sf_dir).dropna(subset=[LABEL])
+    rows = materialize(weather_model_rows(spark, sf_dir).dropna(subset=[LABEL]), "rows")
     scored = _fit_ols(rows).predict(rows)
     return _fitted(scored.select("State", "Year", LABEL, "prediction"))
 
@@ -268,7 +270,7 @@ FROM (SELECT {METRICS_SQL}
     )
 )
 def ols_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weather_model_rows(spark, sf_dir).dropna(subset=[LABEL])
+    rows = materialize(weather_model_rows(spark, sf_dir).dropna(subset=[LABEL]), "rows")
     validation = splits.temporal_split(rows, LAST_TRAIN_YEAR)[1]
     scored = _fit_ols(rows).predict(validation)
     return _fitted(metrics.regression_metrics(scored, LABEL))
@@ -319,6 +321,7 @@ def lasso_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State matrix with its gaps filled; what stays missing takes the column's 0."""
     dataset = state_month_dataset(panel(spark, sf_dir), state_yields(spark, sf_dir))
+    dataset = materialize(dataset, "matrix")
     filled = fill_from_history(dataset, TARGET_YEAR, MONTH_FEATURES)
     return filled.fillna(0.0, subset=MONTH_FEATURES)
 
@@ -373,7 +376,7 @@ def predict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def sequence_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences, scaled and flattened, as input of a forest."""
-    samples = _samples(spark, sf_dir).dropna(subset=["target"])
+    samples = materialize(_samples(spark, sf_dir).dropna(subset=["target"]), "samples")
     train = samples.filter(F.col("Year") < 2000)
     width = len(schemas.SEQUENCE_FEATURES)
     steps = F.transform(

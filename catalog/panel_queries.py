@@ -12,6 +12,7 @@ from catalog.tables import (
     cte,
     panel,
     state_yields,
+    stored_panel,
     table,
     with_ctes,
 )
@@ -122,7 +123,7 @@ def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def date_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(process_weather(panel(spark, sf_dir)))
+    return rounded(process_weather(stored_panel(spark, sf_dir)))
 
 
 @register(
@@ -136,7 +137,7 @@ FROM modeling
     )
 )
 def modeling_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = modeling_days(panel(spark, sf_dir), state_yields(spark, sf_dir))
+    days = modeling_days(stored_panel(spark, sf_dir), state_yields(spark, sf_dir))
     return rounded(
         days.select(
             "Date", "State", *M, "GDD", "Heat_Stress", "Year", "Month", "Day", schemas.LABEL
@@ -154,7 +155,7 @@ FROM (SELECT *, "RP7" * "RP7" AS "RP7S" FROM rolled)
     )
 )
 def rolling_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = trailing_sums(panel(spark, sf_dir)).withColumn("RP7S", squared("RP7"))
+    rolled = trailing_sums(stored_panel(spark, sf_dir)).withColumn("RP7S", squared("RP7"))
     return rounded(
         rolled.select("State", "County", "Date", "RP7", "RP15", "RP30", "RP7S")
     )
@@ -228,7 +229,7 @@ WHERE c.n_w = 31 OR k.w > c.max_w - 31
 )
 def week_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step of the alignment on its own: week, averages, trim, shift, renumber."""
-    season = seasons.growing_season(panel(spark, sf_dir)).transform(add_agronomy)
+    season = seasons.growing_season(stored_panel(spark, sf_dir)).transform(add_agronomy)
     measures = [*M, "GDD"]
     daily = grain.daily_state_means(season, measures)
     weekly = grain.weekly_state_means(seasons.season_week(daily), measures)

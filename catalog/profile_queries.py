@@ -13,6 +13,8 @@ from catalog.tables import (
     cte,
     panel,
     state_yields,
+    stored_days,
+    stored_panel,
     table,
     with_ctes,
 )
@@ -22,15 +24,13 @@ from cropweave.models.splits import label_split
 from cropweave.operators import profiling, sets
 from cropweave.operators.ranking import preview, top_by_abs
 from cropweave.plans.state_months import state_month_dataset
-from cropweave.plans.weather import modeling_days
 
 M = schemas.MEASURES
 COLUMNS = ["Date", "State", *M, "GDD", "Heat_Stress", "Year", "Month", "Day", schemas.LABEL]
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = modeling_days(panel(spark, sf_dir), state_yields(spark, sf_dir))
-    return days.select(*COLUMNS)
+    return stored_days(spark, sf_dir).select(*COLUMNS)
 
 
 def per_column(names, template: str, source: str) -> str:
@@ -102,7 +102,7 @@ SELECT "column", "count", {r("mean", "std", "min", "p25", "p50", "p75", "max")}
     )
 )
 def describe_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profiling.describe_profile(panel(spark, sf_dir), M))
+    return rounded(profiling.describe_profile(stored_panel(spark, sf_dir), M))
 
 
 @register(
@@ -241,7 +241,7 @@ GROUP BY 1
     )
 )
 def state_first_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heads = sets.first_members(panel(spark, sf_dir))
+    heads = sets.first_members(sets.members(panel(spark, sf_dir), "State", "County"))
     return heads.withColumn("first_members", F.array_join("first_members", ","))
 
 

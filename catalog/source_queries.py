@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.registry import register, rounded, rounded_sql
-from catalog.tables import county_yields, panel, table, with_ctes
+from catalog.tables import county_yields, panel, stored_panel, table, with_ctes
 from cropweave import schemas, sources
 from cropweave.operators import regions
 from cropweave.operators.repair import cleanse_yields
@@ -120,7 +120,7 @@ SELECT 'NATIONAL', NULL, NULL, year_min, year_max FROM {_SPAN}
 """
 )
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weather = panel(spark, sf_dir)
+    weather = stored_panel(spark, sf_dir)
     plan = sources.request_plan(weather, "COUNTY")
     for level in ("STATE", "NATIONAL"):
         plan = plan.unionByName(

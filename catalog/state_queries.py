@@ -15,6 +15,8 @@ from catalog.tables import (
     panel,
     spread_sql,
     state_yields,
+    stored_days,
+    stored_panel,
     with_ctes,
 )
 from cropweave import schemas
@@ -28,6 +30,7 @@ from cropweave.operators.repair import fill_from_history
 from cropweave.operators.seasons import growing_season
 from cropweave.plans import sequences, state_months
 from cropweave.plans.weather import add_agronomy, modeling_days
+from cropweave.session import materialize
 
 MM = schemas.MONTHLY_MEASURES
 LONG_SQL = " UNION ALL ".join(
@@ -101,7 +104,7 @@ SELECT "State", "Year", {r(*_ALL_FEATURES)} FROM (
     )
 )
 def state_month_rolling_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = state_months.state_month_rolling_matrix(panel(spark, sf_dir))
+    matrix = state_months.state_month_rolling_matrix(stored_panel(spark, sf_dir))
     return rounded(matrix.select("State", "Year", *_ALL_FEATURES))
 
 
@@ -126,6 +129,7 @@ SELECT "State", "Year", {r(*MONTH_FEATURES)} FROM (
 )
 def history_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = state_months.state_month_matrix(panel(spark, sf_dir))
+    matrix = materialize(matrix, "matrix")
     return rounded(fill_from_history(matrix, TARGET_YEAR))
 
 
@@ -151,7 +155,7 @@ JOIN state_yields y ON y."State" = m."State" AND y."Year" = m."Year"
 
 def weather_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inputs of the trend and weather regression, labels taken from the daily table."""
-    weather = panel(spark, sf_dir)
+    weather = stored_panel(spark, sf_dir)
     days = modeling_days(weather, state_yields(spark, sf_dir))
     matrix = attach_distinct_yields(state_months.state_month_matrix(weather), days)
     return trend_weather_features(matrix)
@@ -196,8 +200,7 @@ WHERE n_w = 31 OR w > max_w - 31
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = modeling_days(panel(spark, sf_dir), state_yields(spark, sf_dir))
-    return sequences.sequence_samples(days)
+    return sequences.sequence_samples(stored_days(spark, sf_dir))
 
 
 @register(

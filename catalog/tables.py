@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropweave import schemas
+from cropweave.plans.weather import modeling_days
+from cropweave.session import materialize
 
 LAST_TRAIN_YEAR = 1999
 TARGET_YEAR = 2001
@@ -58,6 +60,17 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as a table, for queries that read it more than once."""
+    return materialize(panel(spark, sf_dir), "panel")
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily modelling table, stored as its readers expect it."""
+    days = modeling_days(stored_panel(spark, sf_dir), state_yields(spark, sf_dir))
+    return materialize(days, "days")
+
+
 def state_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Year, State, yield) from the orders of a nation's customers."""
     orders = table(spark, sf_dir, "orders")

@@ -39,11 +39,15 @@ TREND_WEATHER_FEATURES = (
 
 @dataclass(frozen=True)
 class Fitted:
-    """A Spark ML model with the columns it was fitted on."""
+    """A Spark ML model with the columns it was fitted on.
+
+    ``constant`` columns carried one value in training and have no weight.
+    """
 
     model: Any
     features: tuple[str, ...]
     label: str
+    constant: tuple[str, ...] = ()
 
     def predict(self, df: DataFrame, prediction: str = "prediction") -> DataFrame:
         """All columns of ``df`` and the prediction; the row's keys travel with it."""
@@ -64,23 +68,26 @@ def fit(
 ) -> Fitted:
     """Fit on the rows that have a label.
 
-    A fit reads its rows several times, so they are computed once beforehand.
+    A fit reads its rows several times, so they are computed once beforehand. A
+    feature that never varies is left out: it cannot be told from the intercept and
+    would make the normal equations singular.
     """
     columns = [F.col(name).cast("double").alias(name) for name in (*features, label)]
     rows = materialize(train.dropna(subset=[label]).select(*columns), "training")
-    labelled = assemble(rows, features)
+    varies = rows.agg(
+        *[(F.min(name) < F.max(name)).alias(name) for name in features],
+    ).first()
+    constant = tuple(name for name in features if varies[name] is False)
+    used = tuple(name for name in features if name not in constant)
     ready = estimator.copy(
         {estimator.featuresCol: VECTOR, estimator.labelCol: label}
     )
-    return Fitted(ready.fit(labelled), tuple(features), label)
+    return Fitted(ready.fit(assemble(rows, used)), used, label, constant)
 
 
 def ordinary_least_squares() -> LinearRegression:
-    """Normal equations: one pass over the rows, then a solve over the features.
-
-    The tolerance matters where a constant feature makes the solve iterative.
-    """
-    return LinearRegression(regParam=0.0, solver="normal", maxIter=1000, tol=1e-12)
+    """Normal equations: one pass over the rows, then a solve over the features."""
+    return LinearRegression(regParam=0.0, solver="normal")
 
 
 def lasso(alpha: float = 0.01, iterations: int = 10_000) -> LinearRegression:

@@ -18,6 +18,7 @@ from cropweave.session import materialize
 
 def _weights(spark: SparkSession, fitted: Fitted, values: Sequence[float], name: str) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(fitted.features, values, strict=True)]
+    rows += [(f, 0.0) for f in fitted.constant]
     return spark.createDataFrame(rows, f"feature string, {name} double")
 
 
