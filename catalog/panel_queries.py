@@ -175,7 +175,7 @@ SELECT event_id, user_id, {r("V5", "V20")} FROM (
 """
 )
 def rolling_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing sums per user, cut into days: a busy user spreads over the days."""
+    """Trailing sums per user, cut into minutes: a busy user spreads over many tasks."""
     first = F.min(F.struct("event_id", "value")).alias("_first")
     events = (
         table(spark, sf_dir, "events")
@@ -189,7 +189,7 @@ def rolling_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"V5": 5, "V20": 20},
         keys=["user_id"],
         order="ts",
-        block=F.to_date("ts"),
+        block=F.date_trunc("minute", F.col("ts").cast("timestamp")),
     )
     return rounded(rolled.select("event_id", "user_id", "V5", "V20"))
 

@@ -72,10 +72,16 @@ def _carried_rows(
     )
     # ``reach`` earlier blocks always hold enough rows, as none of them is empty.
     earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(-reach, -1)
-    rows = F.flatten(F.collect_list("_tail").over(earlier))
+    rows = F.col("_rows")
     kept = F.slice(rows, F.greatest(F.size(rows) - reach + 1, F.lit(1)), reach)
-    return tails.select(
-        *keys, "_block", F.transform(kept, lambda row: row["_cell"][value]).alias("_carry")
+    return (
+        tails.withColumn("_tails", F.collect_list("_tail").over(earlier))
+        .withColumn("_rows", F.flatten("_tails"))
+        .select(
+            *keys,
+            "_block",
+            F.transform(kept, lambda row: row["_cell"][value]).alias("_carry"),
+        )
     )
 
 
