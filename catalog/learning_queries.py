@@ -184,6 +184,11 @@ def sequence_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 OLS_FEATURES = ["Year", "JunePrecipShortfall", "JulyTemp", "JulyPrecip", "JulyPrecipSq"]
 
 
+def _projection(x: str, k: int) -> str:
+    """Slope of x on e_k; 0 for a feature that is constant in training."""
+    return f"COALESCE(SUM({x} * e_{k}) / NULLIF(SUM(e_{k} * e_{k}), 0), 0)"
+
+
 def _ols_ctes() -> None:
     source = "ols_0"
     cte(
@@ -203,17 +208,14 @@ FROM weather_model
             if k == 0:
                 columns.append(f"{x} - (SELECT AVG({x}) FROM {source} WHERE fit) AS e_{i}")
             elif i > k:
-                slope = (
-                    f"(SELECT SUM({x} * e_{k}) / SUM(e_{k} * e_{k}) FROM {source} WHERE fit)"
-                )
+                slope = f"(SELECT {_projection(x, k)} FROM {source} WHERE fit)"
                 columns.append(f"{x} - {slope} * e_{k} AS e_{i}")
         kept = [f"e_{i}" for i in range(1, k + 1)] if k else []
         base = ['"State"', '"Year"', '"Yield_bu_acre"', "fit", *kept, *columns]
         cte(f"ols_{k + 1}", f"SELECT {', '.join(base)} FROM {source}", source)
         source = f"ols_{k + 1}"
     terms = " + ".join(
-        f"""(SELECT SUM("Yield_bu_acre" * e_{i}) / SUM(e_{i} * e_{i}) FROM {source} WHERE fit)
-        * e_{i}"""
+        f"""(SELECT {_projection('"Yield_bu_acre"', i)} FROM {source} WHERE fit) * e_{i}"""
         for i in range(1, n + 1)
     )
     cte(
