@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, token_counts
+from cropweave.llm import byte_bpe, coded_ids, simhash, token_counts
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -38,6 +38,12 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@register
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints of 4-word shingles differ in at most 4 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shared_folder(spark), words=4, distance=4)
+
+
 @register
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by rank-synchronous merging."""

@@ -12,11 +12,9 @@ def shipped(spark):
 
 
 @pytest.fixture
-def shared(spark, tmp_path, monkeypatch):
-    """A checkpoint folder, as a cluster's session names one."""
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    yield str(tmp_path)
-    spark.conf.unset("spark.checkpoint.dir")
+def shared(tmp_path):
+    """A folder for tables in between, as spark.checkpoint.dir names one on a cluster."""
+    return f"file://{tmp_path}/shared"
 
 
 @pytest.fixture
