@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, simhash, token_counts
+from cropweave.llm import byte_bpe, coded_ids, decontamination, simhash, token_counts
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -65,3 +65,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, pattern())
     return byte_bpe.decode_documents(coded, path, pattern())
+
+
+@register
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    docs, items = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    return decontamination.contamination(docs, items, shared_folder(spark), window=10)
