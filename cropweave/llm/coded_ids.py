@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropweave.llm.pretokens import Numbering, RaggedTable
-from cropweave.llm.texts import arrow_batch, byte_view, sliced
+from cropweave.llm.texts import arrow_batch, byte_view, ragged, sliced
 
 MAGIC = b"DAC1"
 #: Bits of the chunks, lowest first: together the 32 bits of an id.
@@ -32,7 +32,7 @@ LEVELS = (8, 8, 16)
 RANK_BITS = 512
 #: Ids of a segment, unless one document has more.
 SEGMENT_IDS = 1 << 20
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 class Level:
@@ -123,33 +123,74 @@ class Segment:
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space.
+    """Ids of whole texts by a tokenizer that lower-cases and drops white space.
 
-    Such a tokenizer treats the pieces between ASCII white space one by one, so each
-    distinct piece is given to the library once and remembered.
+    Such a tokenizer treats the pieces between ASCII white space one by one. A piece of
+    ASCII letters is looked up in lower case, without a full stop or comma behind it, which
+    is a token of its own. Only what is new goes to the library, many pieces in one call
+    with a special token between them.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        if [x.ids for x in self.library.encode_batch([" a \n b", "a", "b"], add_special_tokens=False)][0] != [
-            i for x in ("a", "b") for i in self.library.encode(x, add_special_tokens=False).ids
-        ]:
-            raise ValueError(f"{path} keeps white space")
+        self.special, self.border = next((t.content, k) for k, t in sorted(self.library.get_added_tokens_decoder().items()) if t.special)
+        one = lambda x: self.library.encode(x, add_special_tokens=False).ids
+        self.tails = {x: np.array(one(x.decode()), np.uint32) for x in (b".", b",")}
+        if one(" Ab \n b, c.") != [*one("ab"), *one("b"), *one(","), *one("c"), *one(".")]:
+            raise ValueError(f"{path} keeps white space or case")
         self.forget()
 
     def forget(self) -> None:
         self.known, self.table = Numbering(), RaggedTable(np.uint32)
+        self.stems, self.stem_ids = Numbering(), RaggedTable(np.uint32)
+
+    def library_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
+        texts = [x.decode() for x in pieces]
+        groups, own = [], []
+        for k in range(0, len(texts), 256):
+            group = texts[k : k + 256]
+            if any("<|" in x for x in group):
+                groups += group
+                own += [1] * len(group)
+            else:
+                groups.append(self.special.join(group))
+                own.append(len(group))
+        flat, lengths = [], []
+        for coded, n in zip(self.library.encode_batch_fast(groups, add_special_tokens=False), own, strict=True):
+            ids = np.array(coded.ids, np.uint32)
+            border = ids == self.border if n > 1 else np.zeros(len(ids), bool)
+            flat.append(ids[~border])
+            lengths.append(np.diff(np.concatenate([[-1], np.flatnonzero(border), [len(ids)]])) - 1)
+        return np.concatenate([*flat, np.zeros(0, np.uint32)]), np.concatenate([*lengths, np.zeros(0, np.int64)])
+
+    def learn(self, pieces: list[bytes]) -> None:
+        """Put the ids of new pieces into the table."""
+        stems, tails = [], []
+        for x in pieces:
+            tail = x[-1:] if x[-1:] in (b".", b",") and x[:-1].isalpha() else b""
+            stem = x[:-1] if tail else x
+            stems.append(stem.lower() if stem.isalpha() else stem)
+            tails.append(tail)
+        rows = self.stems.numbers(stems)
+        if fresh := self.stems.take_fresh():
+            self.stem_ids.append(*self.library_ids(fresh))
+        lengths = self.stem_ids.lengths(rows)
+        behind = np.array([len(self.tails[x]) if x else 0 for x in tails], np.int64)
+        out = np.zeros(int((lengths + behind).sum()), np.uint32)
+        starts = np.cumsum(lengths + behind) - lengths - behind
+        out[ragged(starts, lengths)] = self.stem_ids.gather(rows)
+        out[ragged(starts + lengths, behind)] = np.concatenate([*(self.tails[x] for x in tails if x), np.zeros(0, np.uint32)])
+        self.table.append(out, lengths + behind)
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.forget()
         numbers = [self.known.numbers(x.split()) for x in texts]
         if fresh := self.known.take_fresh():
-            coded = [x.ids for x in self.library.encode_batch_fast([x.decode() for x in fresh], add_special_tokens=False)]
-            lengths = np.array([len(x) for x in coded], np.int64)
-            self.table.append(np.fromiter((i for x in coded for i in x), np.uint32, int(lengths.sum())), lengths)
+            self.learn(fresh)
         return [self.table.gather(x) for x in numbers]
 
 
