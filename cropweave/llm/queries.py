@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, simhash, token_counts
+from cropweave.llm import byte_bpe, coded_ids, decontamination, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -44,6 +44,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shared_folder(spark), words=4, distance=4)
 
 
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that aren't held out."""
+    docs, labels = (table(spark, sf_dir, x) for x in ("documents", "labels"))
+    return toxicity.toxicity_scores(docs, labels, shared_folder(spark))
+
+
 @register
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by rank-synchronous merging."""
@@ -62,9 +69,7 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the transducer, and what they decode to."""
-    path = tokenizer("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, pattern())
-    return byte_bpe.decode_documents(coded, path, pattern())
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), pattern())
 
 
 @register
