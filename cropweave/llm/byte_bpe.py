@@ -240,9 +240,14 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def decimal_digest(ids: np.ndarray) -> str:
-    """SHA-256 of the decimal ids joined by one space."""
-    return hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest()
+@lru_cache(1)
+def decimals(n: int) -> list[bytes]:
+    return [b"%d" % k for k in range(n)]
+
+
+def decimal_digest(ids: np.ndarray, n: int) -> str:
+    """SHA-256 of the decimal ids, all below ``n``, joined by one space."""
+    return hashlib.sha256(b" ".join(map(decimals(n).__getitem__, ids.tolist()))).hexdigest()
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -259,37 +264,66 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for piece in sliced(batches):
             coded = own.encode(strings(piece.column("text")))
-            places = np.cumsum([0, *map(len, coded)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(places, np.concatenate([*coded, np.zeros(0, np.int32)]))
-            yield arrow_batch(out, [piece.column("doc_id"), lists])
+            yield arrow_batch(out, [piece.column("doc_id"), listed(coded)])
 
     return kept_columns(docs, doc_id="long", text="string").mapInArrow(run, out)
 
 
+#: What decoding gives for each document.
+DECODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean"
+
+
+def decoded_row(own: Codec, whole: np.ndarray, ids: np.ndarray) -> tuple[int, str, str, bool]:
+    data = own.decode_bytes(ids)
+    return len(ids), decimal_digest(ids, own.raw.rows), hashlib.sha256(data).hexdigest(), valid(own, whole, ids)
+
+
+def columns_of(rows: list[tuple]) -> list[list]:
+    return [list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 4
+
+
 def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, the digests of the ids and of the decoded bytes, and ``valid_utf8``.
 
     Takes ``doc_id`` and ``token_ids``; a null array is an empty one. Bytes are fed to the
     decoder through the UTF-8 machine only where a token isn't whole characters by itself.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean"
-    out = coded.sparkSession.createDataFrame([], schema).schema
+    out = coded.sparkSession.createDataFrame([], DECODED).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        whole = whole_tokens(path, pattern)
+        own, whole = codec(path, pattern), whole_tokens(path, pattern)
         for batch in batches:
-            rows = []
-            column = batch.column("token_ids")
-            for k in range(batch.num_rows):
-                ids = column[k].values.to_numpy() if column[k].is_valid else np.zeros(0, np.int32)
-                data = own.decode_bytes(ids)
-                rows.append((len(ids), decimal_digest(ids), hashlib.sha256(data).hexdigest(), valid(own, whole, ids)))
-            yield arrow_batch(out, [batch.column("doc_id"), *([list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 4)])
+            lists = batch.column("token_ids")
+            ids = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in lists]
+            yield arrow_batch(out, [batch.column("doc_id"), *columns_of([decoded_row(own, whole, x) for x in ids])])
 
     return coded.select("doc_id", "token_ids").mapInArrow(run, out)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: what ``decode_documents`` gives for ``encode_documents``.
+
+    The ids stay in the worker that made them, which spares a second worker for each task;
+    ``with_ids`` adds them as the array ``token_ids``. Nulls, empty texts, repeated rows and
+    empty tables are as there.
+    """
+    out = docs.sparkSession.createDataFrame([], DECODED + (", token_ids array<int>" if with_ids else "")).schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, whole = codec(path, pattern), whole_tokens(path, pattern)
+        for piece in sliced(batches):
+            coded = own.encode(strings(piece.column("text")))
+            columns = [piece.column("doc_id"), *columns_of([decoded_row(own, whole, x) for x in coded])]
+            yield arrow_batch(out, columns + ([listed(coded)] if with_ids else []))
+
+    return kept_columns(docs, doc_id="long", text="string").mapInArrow(run, out)
+
+
+def listed(rows: list[np.ndarray]) -> pa.ListArray:
+    places = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(places, np.concatenate([*rows, np.zeros(0, np.int32)]))
+
+
 @lru_cache(2)
 def whole_tokens(path: str, pattern: str) -> np.ndarray:
     """Whether each id stands for whole characters."""

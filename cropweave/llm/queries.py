@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, personal, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -38,6 +38,12 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@register
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the base patterns and what the field adds."""
+    return personal.personal_data(table(spark, sf_dir, "documents"), shared_folder(spark))
+
+
 @register
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints of 4-word shingles differ in at most 4 bits."""

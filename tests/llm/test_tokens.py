@@ -68,6 +68,8 @@ def test_transducer_equals_the_library(documents):
         sha = [hashlib.sha256(x).hexdigest() for x in (" ".join(map(str, ids)).encode(), (text or "").encode())]
         want.append((doc, len(ids), *sha, True))
     assert got == sorted(want, key=lambda x: tuple((y is None, y) for y in x))
+    at_once = rows_of(byte_bpe.round_trip(documents(ROWS), path, P.PATTERN), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "valid_utf8")
+    assert at_once == got
 
 
 def test_transducer_on_random_bytes_and_small_memory(monkeypatch, sample):
