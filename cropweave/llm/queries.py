@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, personal, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, personal, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -64,6 +64,30 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), pattern(), limit=512)
 
 
+@register
+def op7_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 rows of largest inner product for every 50th vector."""
+    return knn_join.top_k(table(spark, sf_dir, "embeddings"), shared_folder(spark), every=50, k=5)
+
+
+ORACLES["op7_knn_join"] = """
+WITH kept AS (
+    SELECT vec_id, MIN([CAST(FLOOR(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND LEN(embedding) > 0
+      AND LEN([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = LEN(embedding)
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+    FROM kept q JOIN kept c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND LEN(q.v) = LEN(c.v)
+), ranked AS (
+    SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @register
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as directly addressable codes and read back."""
