@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, personal, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, personal, repeated_bytes, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -64,6 +64,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), pattern(), limit=512)
 
 
+@register
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start anywhere else."""
+    return repeated_bytes.without_repeats(table(spark, sf_dir, "documents"), shared_folder(spark), length=400)
+
+
 @register
 def op7_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 rows of largest inner product for every 50th vector."""
