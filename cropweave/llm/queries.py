@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, personal, repeated_bytes, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, passages, personal, repeated_bytes, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -38,6 +38,12 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@register
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share near-duplicate passages of 50 words or more."""
+    return passages.duplicate_passages(table(spark, sf_dir, "documents"), shared_folder(spark), words=50, similarity=0.8)
+
+
 @register
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: the base patterns and what the field adds."""
