@@ -96,17 +96,21 @@ def suffix_ranks(text: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.n
     different, so no two suffixes are equal.
     """
     n = len(text)
-    wide = np.where(border > 0, 0, text.astype(np.int64) + 1)
-    padded = np.concatenate([wide, np.zeros(8, np.int64)])
-    key, open_ = np.zeros(n, np.int64), np.ones(n, bool)
-    ended = np.zeros(n, np.int64)
-    numbered = np.concatenate([border, np.zeros(8, np.int64)])
-    for k in range(7):
-        key = key * 257 + np.where(open_, padded[k : k + n], 0)
-        ended = np.where(open_ & (numbered[k : k + n] > 0), numbered[k : k + n], ended)
-        open_ &= numbered[k : k + n] == 0
-    order = np.lexsort((ended, key))
-    step = np.append(True, (np.diff(key[order]) != 0) | (np.diff(ended[order]) != 0))
+    wide = np.concatenate([np.where(border > 0, 0, text.astype(np.int64) + 1), np.zeros(7, np.int64)])
+    key = wide[:n].copy()
+    for k in range(1, 7):
+        key = key * 257 + wide[k : k + n]
+    # What lies behind a border doesn't count.
+    ends = np.flatnonzero(border)
+    first = np.maximum(ends - 6, np.append(-1, ends[:-1]) + 1)
+    near = ragged(first, ends - first + 1)
+    cut = 257 ** (6 - (np.repeat(ends, ends - first + 1) - near))
+    key[near] = key[near] // cut * cut
+    ended = np.zeros(n, bool)
+    ended[near] = True
+    # A stable order puts equal ones by place, which is the order of their borders.
+    order = np.argsort(key, kind="stable")
+    step = np.append(True, (np.diff(key[order]) != 0) | ended[order[1:]])
     rank = np.empty(n, np.int64)
     rank[order] = np.flatnonzero(step)[np.cumsum(step) - 1]
     done = 7
@@ -138,27 +142,31 @@ def repeated_suffixes(text: np.ndarray, border: np.ndarray, length: int) -> np.n
     # Only the first and last symbol of a run can be the first or last of its kind in an interval.
     change = np.flatnonzero(symbol[1:] != symbol[:-1])
     run_ends, run_starts = np.append(change, n - 1), np.append(0, change + 1)
+    run_of = np.zeros(n, np.int64)
+    run_of[change + 1] = 1
+    run_of = np.cumsum(run_of)
     by_symbol = np.lexsort((np.arange(n), symbol))
     after, prior = np.full(n, n), np.full(n, -1)
     same = symbol[by_symbol[1:]] == symbol[by_symbol[:-1]]
     after[by_symbol[:-1][same]], prior[by_symbol[1:][same]] = by_symbol[1:][same], by_symbol[:-1][same]
+    numbered = np.zeros(n, np.int64)  # the symbols from 0 on
+    numbered[by_symbol] = np.cumsum(np.append(0, (~same).astype(np.int64)))[:n]
+    kinds = int(numbered.max()) + 1
     valued = np.zeros(n + 1, bool)
     valued[0] = valued[n] = True
     first, last = np.array([0]), np.array([n - 1])
     for _ in range(length):
         # All symbols before the intervals, by the places of their last and first occurrence.
-        a, b = np.searchsorted(run_ends, first), np.searchsorted(run_ends, last)
-        owner = np.repeat(np.arange(len(first)), b - a + 1)
-        ends = np.minimum(run_ends[ragged(a, b - a + 1)], last[owner])
+        a, b = run_of[first], run_of[last]
+        owner, runs = np.repeat(np.arange(len(first)), b - a + 1), ragged(a, b - a + 1)
+        ends = np.minimum(run_ends[runs], last[owner])
         keep = after[ends] > last[owner]
         ends, end_owner = ends[keep], owner[keep]
-        a, b = np.searchsorted(run_starts, first, side="right") - 1, np.searchsorted(run_starts, last, side="right") - 1
-        owner = np.repeat(np.arange(len(first)), b - a + 1)
-        starts = np.maximum(run_starts[ragged(a, b - a + 1)], first[owner])
+        starts = np.maximum(run_starts[runs], first[owner])
         keep = prior[starts] < first[owner]
         starts, start_owner = starts[keep], owner[keep]
-        new_last = step_back[ends[np.lexsort((symbol[ends], end_owner))]]
-        new_first = step_back[starts[np.lexsort((symbol[starts], start_owner))]]
+        new_last = step_back[ends[np.argsort(end_owner * kinds + numbered[ends], kind="stable")]]
+        new_first = step_back[starts[np.argsort(start_owner * kinds + numbered[starts], kind="stable")]]
         fresh = ~valued[new_last + 1]
         first, last = new_first[fresh], new_last[fresh]
         valued[last + 1] = True
