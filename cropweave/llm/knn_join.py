@@ -23,6 +23,8 @@ from cropweave.llm.texts import arrow_batch
 #: Pivots are one in so many rows, within these limits; rows and queries of a block.
 ROWS_PER_PIVOT, FEWEST, MOST = 400, 4, 256
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 1_024
+#: Groups that need more than this share of the rows are asked together, against all rows.
+WIDE = 0.25
 #: Room for rounding in bounds, which are doubles.
 SLACK = 1e-6
 
@@ -41,7 +43,7 @@ def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.int64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -127,7 +129,6 @@ def _top_k(rows: DataFrame, folder: str, every: int, k: int) -> DataFrame:
     rows = stored(assigned(rows, pivots), folder, "assigned")
     queries = rows.where(F.col("vec_id") % every == 0)
     groups = group_bounds(rows, queries, pivots, k)
-    places = {(g["cell"], g["band"]): i for i, g in enumerate(groups)}
     shared = spark.sparkContext.broadcast((pivots, groups))
 
     counted = spark.createDataFrame([], "part int, n long").schema
@@ -141,7 +142,12 @@ def _top_k(rows: DataFrame, folder: str, every: int, k: int) -> DataFrame:
         yield arrow_batch(counted, [np.arange(len(total)), total])
 
     sums = {r["part"]: r["n"] for r in rows.select("v").mapInArrow(count, counted).groupBy("part").agg(F.sum("n").alias("n")).collect()}
-    blocks = [(-(-max(1, sums.get(i, 0)) // BLOCK_ROWS), -(-g["queries"] // BLOCK_QUERIES)) for i, g in enumerate(groups)]
+    narrow = [g for i, g in enumerate(groups) if sums.get(i, 0) <= WIDE * n]
+    wide = sum(g["queries"] for i, g in enumerate(groups) if sums.get(i, 0) > WIDE * n)
+    places = {(g["cell"], g["band"]): i for i, g in enumerate(narrow)}
+    blocks = [(-(-max(1, sums.get(i, 0)) // BLOCK_ROWS), -(-g["queries"] // BLOCK_QUERIES)) for i, g in enumerate(groups) if sums.get(i, 0) <= WIDE * n]
+    blocks.append((-(-max(1, n) // BLOCK_ROWS), -(-wide // BLOCK_QUERIES)))
+    kept = spark.sparkContext.broadcast((pivots, narrow))
     piece = spark.createDataFrame([], "part int, block int, chunk int, vec_id long, v array<long>").schema
 
     def dealt(ids: np.ndarray, n: int) -> np.ndarray:
@@ -152,11 +158,14 @@ def _top_k(rows: DataFrame, folder: str, every: int, k: int) -> DataFrame:
         return arrow_batch(piece, [np.full(len(at), part), block, chunk, take.column("vec_id"), take.column("v")])
 
     def replicate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, bounds = shared.value
+        own, bounds = kept.value
         for batch in batches:
-            if not batch.num_rows or not bounds:
+            if not batch.num_rows:
                 continue
-            mask, ids = needed(matrix(batch.column("v")), own, bounds), batch.column("vec_id").to_numpy()
+            ids = batch.column("vec_id").to_numpy()
+            mask = np.ones((len(ids), len(bounds) + 1), bool)
+            if bounds:
+                mask[:, :-1] = needed(matrix(batch.column("v")), own, bounds)
             for part, (n_blocks, n_chunks) in enumerate(blocks):
                 at = np.flatnonzero(mask[:, part])
                 for chunk in range(n_chunks if len(at) else 0):
@@ -166,7 +175,7 @@ def _top_k(rows: DataFrame, folder: str, every: int, k: int) -> DataFrame:
         for batch in batches:
             ids, dist = batch.column("vec_id").to_numpy(), batch.column("dist").to_numpy()
             band = np.ceil(np.log2(dist + 1)).astype(np.int64)
-            part = np.array([places[c, b] for c, b in zip(batch.column("cell").to_pylist(), band.tolist(), strict=True)], np.int64)
+            part = np.array([places.get((c, b), len(places)) for c, b in zip(batch.column("cell").to_pylist(), band.tolist(), strict=True)], np.int64)
             for own in np.unique(part):
                 at = np.flatnonzero(part == own)
                 n_blocks, n_chunks = blocks[own]
