@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cropweave.llm.pretokens import Numbering, RaggedTable, splitter
-from cropweave.llm.texts import arrow_batch, kept_columns, sliced, strings
+from cropweave.llm.texts import arrow_batch, claim, kept_columns, sliced, strings
 
 #: Memory bounds of a worker: it forgets beyond them and builds anew. Results don't depend on them.
 STATES, REMEMBERED, PAIRS = 200_000, 500_000, 500_000
@@ -236,10 +236,16 @@ class Codec:
 
 
 @lru_cache(2)
-def codec(path: str, pattern: str) -> Codec:
+def _codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def codec(path: str, pattern: str) -> Codec:
+    """The codec of this worker, with what it remembers."""
+    claim(__name__, _codec.cache_clear)
+    return _codec(path, pattern)
+
+
 @lru_cache(1)
 def decimals(n: int) -> list[bytes]:
     return [b"%d" % k for k in range(n)]

@@ -11,6 +11,7 @@ with a header, the places of its documents and its levels.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -24,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropweave.llm.pretokens import Numbering, RaggedTable
-from cropweave.llm.texts import arrow_batch, byte_view, ragged, sliced
+from cropweave.llm.texts import arrow_batch, byte_view, claim, ragged, sliced
 
 MAGIC = b"DAC1"
 #: Bits of the chunks, lowest first: together the 32 bits of an id.
@@ -195,13 +196,17 @@ class WordEncoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> WordEncoder:
-    import os
-
+def _encoder(path: str) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordEncoder(path)
 
 
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this worker, with what it remembers."""
+    claim(__name__, _encoder.cache_clear)
+    return _encoder(path)
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Encode every whole text, append ``end_id``, and write segments to ``path``.
 

@@ -11,10 +11,18 @@ from pyspark.sql import SparkSession
 import cropweave
 
 NAME = "cropweave-code.zip"
+#: Texts are long: a batch of Spark's default number of rows would hold tens of megabytes.
+BATCH, DEFAULT, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Let workers import the package where it isn't installed; once a session, Spark copies the file."""
+    """Let workers import the package where it isn't installed, and hold Arrow batches small.
+
+    Once a session; Spark copies the file to the executors. A batch size that the session
+    has set itself is left alone.
+    """
+    if spark.conf.get(BATCH, DEFAULT) == DEFAULT:
+        spark.conf.set(BATCH, ROWS)
     context = spark.sparkContext
     if any(Path(x).name == NAME for x in context.listFiles):
         return

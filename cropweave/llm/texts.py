@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,21 @@ from pyspark.sql import types as T
 SLICE_BYTES = 2 << 20
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, forget: Callable[[], None]) -> None:
+    """Let one operator at a time keep what its tasks remember in a reused worker.
+
+    Called by a task that fills a cache; what another operator has left there is forgotten.
+    """
+    for name in [x for x in _HELD if x != owner]:
+        _HELD.pop(name)()
+    if owner not in _HELD:
+        _HELD[owner] = forget
+        gc.collect()
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the offset of every row; null is empty."""
     if column.null_count:

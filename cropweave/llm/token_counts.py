@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropweave.llm.pretokens import Numbering, splitter
-from cropweave.llm.texts import arrow_batch, byte_view, kept_columns, sliced, strings
+from cropweave.llm.texts import arrow_batch, byte_view, claim, kept_columns, sliced, strings
 
 #: Distinct pre-tokens a worker remembers before it starts anew; a memory bound only.
 REMEMBERED = 400_000
@@ -124,10 +124,16 @@ class Counter:
 
 
 @lru_cache(2)
-def counter(path: str, pattern: str) -> Counter:
+def _counter(path: str, pattern: str) -> Counter:
     return Counter(path, pattern)
 
 
+def counter(path: str, pattern: str) -> Counter:
+    """The counter of this worker, with what it remembers."""
+    claim(__name__, _counter.cache_clear)
+    return _counter(path, pattern)
+
+
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512) -> DataFrame:
     """Bytes and tokens of every whole text, and whether the tokens pass ``limit``.
 

@@ -10,6 +10,7 @@ the evidence of a document into a score.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import zlib
@@ -25,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropweave.llm.components import stored
-from cropweave.llm.texts import arrow_batch, byte_view, free_name, kept_columns, sliced
+from cropweave.llm.texts import arrow_batch, byte_view, claim, free_name, kept_columns, sliced
 
 #: Labelled rows used at most, those with the smallest hashes, and entries of the lexicon at most.
 SAMPLE_ROWS, LEXICON = 20_000, 50_000
 #: Lengths of word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
 #: Tokens a worker remembers; a memory bound only.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 #: What signs may stand for in disguised words.
 LEET = {
@@ -268,6 +269,7 @@ def evidence(df: DataFrame, model: Model, text: str, *others: str) -> DataFrame:
     out = rows.drop("text").schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__, gc.collect)
         own = Evidence(shared.value)
         for piece in sliced(batches):
             found = [list(own.of(x or "")) for x in piece.column("text").to_pylist()]
