@@ -108,8 +108,11 @@ def suffix_ranks(text: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.n
     key[near] = key[near] // cut * cut
     ended = np.zeros(n, bool)
     ended[near] = True
-    # A stable order puts equal ones by place, which is the order of their borders.
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
+    # Equal ones that end go by place, which is the order of their borders.
+    places = np.flatnonzero(ended[order])
+    ending = order[places]
+    order[places] = ending[np.lexsort((ending, key[ending]))]
     step = np.append(True, (np.diff(key[order]) != 0) | ended[order[1:]])
     rank = np.empty(n, np.int64)
     rank[order] = np.flatnonzero(step)[np.cumsum(step) - 1]
@@ -121,7 +124,7 @@ def suffix_ranks(text: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.n
         if not len(todo):
             break
         ahead = rank[np.minimum(todo + done, n - 1)]
-        deeper = np.argsort(rank[todo] * (n + 1) + ahead, kind="stable")
+        deeper = np.argsort(rank[todo] * (n + 1) + ahead)
         todo, ahead = todo[deeper], ahead[deeper]
         places = np.flatnonzero(shared)
         order[places] = todo
@@ -156,17 +159,22 @@ def repeated_suffixes(text: np.ndarray, border: np.ndarray, length: int) -> np.n
     valued[0] = valued[n] = True
     first, last = np.array([0]), np.array([n - 1])
     for _ in range(length):
-        # All symbols before the intervals, by the places of their last and first occurrence.
         a, b = run_of[first], run_of[last]
-        owner, runs = np.repeat(np.arange(len(first)), b - a + 1), ragged(a, b - a + 1)
-        ends = np.minimum(run_ends[runs], last[owner])
-        keep = after[ends] > last[owner]
-        ends, end_owner = ends[keep], owner[keep]
-        starts = np.maximum(run_starts[runs], first[owner])
-        keep = prior[starts] < first[owner]
-        starts, start_owner = starts[keep], owner[keep]
-        new_last = step_back[ends[np.argsort(end_owner * kinds + numbered[ends], kind="stable")]]
-        new_first = step_back[starts[np.argsort(start_owner * kinds + numbered[starts], kind="stable")]]
+        # Before an interval within one run stands one symbol, which gives one longer interval.
+        single, several = np.flatnonzero(a == b), np.flatnonzero(a != b)
+        new_first, new_last = step_back[first[single]], step_back[last[single]]
+        if len(several):
+            # Elsewhere all symbols before it, by the places of their last and first occurrence.
+            a, b, first, last = a[several], b[several], first[several], last[several]
+            owner, runs = np.repeat(np.arange(len(first)), b - a + 1), ragged(a, b - a + 1)
+            ends = np.minimum(run_ends[runs], last[owner])
+            keep = after[ends] > last[owner]
+            ends, end_owner = ends[keep], owner[keep]
+            starts = np.maximum(run_starts[runs], first[owner])
+            keep = prior[starts] < first[owner]
+            starts, start_owner = starts[keep], owner[keep]
+            new_last = np.append(new_last, step_back[ends[np.argsort(end_owner * kinds + numbered[ends])]])
+            new_first = np.append(new_first, step_back[starts[np.argsort(start_owner * kinds + numbered[starts])]])
         fresh = ~valued[new_last + 1]
         first, last = new_first[fresh], new_last[fresh]
         valued[last + 1] = True
