@@ -27,6 +27,7 @@ from cropweave.functions.agronomy import PLANTING_PROGRESS
 from cropweave.session import materialize
 
 VECTOR = "_features"
+# The names of the regressors.
 TREND_WEATHER_FEATURES = (
     "Year",
     "PlantingProgress",

@@ -13,6 +13,7 @@ SURVEY_RENAMES = {
     "Value": "Yield_bu_acre",
 }
 
+# Names and numbers that the data sets and results must have.
 REGION_KEYS = ("State", "County")
 MEASURES = ("tmax", "tmin", "precip", "swvl1", "swvl2")
 MONTHLY_MEASURES = (*MEASURES, "GDD")
@@ -72,6 +73,7 @@ def _feature(properties: list[str], coordinates: T.DataType) -> T.StructType:
     )
 
 
+# Property names of the county collections.
 COUNTY_PROPERTIES = ["CENSUSAREA", "COUNTY", "GEO_ID", "LSAD", "NAME", "STATE"]
 
 

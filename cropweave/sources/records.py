@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def expand_records(
@@ -20,19 +21,15 @@ def expand_records(
     """Run ``emit`` for every key row on the executors and return its records.
 
     Records leave in Arrow batches of at most ``batch_rows`` rows, so a key with
-    very many records does not have to fit in memory.
+    very many records does not have to fit in memory. Keys and records keep their
+    declared types: whole numbers stay whole beside missing ones.
     """
-    names = schema.fieldNames()
+    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def records() -> Iterator[dict]:
-            for batch in batches:
-                for key in batch.to_dict("records"):
-                    yield from emit(key)
-
-        stream = records()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream = (record for batch in batches for key in batch.to_pylist() for record in emit(key))
         while chunk := list(islice(stream, batch_rows)):
-            yield pd.DataFrame(chunk, columns=names)
+            yield pa.RecordBatch.from_pylist(chunk, schema=arrow)
 
     spread = keys.repartition(partitions) if partitions else keys
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)

@@ -116,6 +116,13 @@ def test_expand_records_in_small_batches(spark):
     assert out.count() == 15 and out.filter(F.col("k") == 5).count() == 5
 
 
+def test_expand_records_keeps_whole_numbers(spark):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("n", T.LongType())])
+    keys = spark.createDataFrame([(2**53 + 1,), (None,)], "k long").coalesce(1)
+    out = sources.expand_records(keys, lambda key: [{"k": key["k"], "n": None}, {"k": None, "n": key["k"]}], schema)
+    assert {tuple(r) for r in out.collect()} == {(2**53 + 1, None), (None, 2**53 + 1), (None, None)} and out.count() == 4
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2000, "A"), (2001, "B")], "Year int, State string")
     path = str(tmp_path / "features")
