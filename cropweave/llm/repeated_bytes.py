@@ -32,11 +32,26 @@ from cropweave.llm.words import mixed, powers
 GRAM, GROUP_SEGMENTS, SHARD_BYTES = 32, 1024, 1 << 20
 #: Windows in a row in the pieces of larger groups.
 PIECE_WINDOWS = (32, 1)
-_LOW = np.uint64((1 << 24) - 1)
+#: Low bits of a hash that hold the place of its k-gram in a block.
+PLACE_BITS = 24
 
 
 def window_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of the bytes, the place of its anchor; and the hash of every k-gram."""
+    """For every window of the bytes, the place of its anchor; and the hash of every k-gram.
+
+    Done in blocks whose places fit the low bits; they overlap, so that each window is in one.
+    """
+    windows, step = len(data) - length + 1, max(1, (1 << PLACE_BITS) - length)
+    anchors, hashes = [], []
+    for first in range(0, windows, step):
+        block = data[first : first + step + length - 1]
+        anchor, grams = _block_anchors(block, length)
+        anchors.append(anchor + first)
+        hashes.append(grams if first + step >= windows else grams[:step])
+    return np.concatenate(anchors), np.concatenate(hashes)
+
+
+def _block_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     gram = min(GRAM, length)
     numbers = np.random.default_rng(6).integers(1, 1 << 63, 256, dtype=np.uint64)
     up, down = powers(len(data))
@@ -44,7 +59,8 @@ def window_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     n = len(data) - gram + 1
     grams = mixed((sums[gram:] - sums[:n]) * down[:n])
     # The place is kept in the low bits, so that of equal hashes the first is the smallest.
-    value = (grams & ~_LOW) | np.arange(n, dtype=np.uint64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    value = (grams & ~low) | np.arange(n, dtype=np.uint64)
     width = length - gram + 1
     rows = -(-n // width)
     padded = np.full(rows * width, np.iinfo(np.uint64).max, np.uint64)
@@ -53,7 +69,7 @@ def window_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     ahead = np.minimum.accumulate(table, axis=1).ravel()
     behind = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
     windows = n - width + 1
-    return (np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows]) & _LOW).astype(np.int64), grams
+    return (np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows]) & low).astype(np.int64), grams
 
 
 def digest(data: bytes) -> tuple[int, int]:

@@ -50,6 +50,20 @@ def test_equals_all_windows(documents, shared, monkeypatch, group):
     assert got == sorted(plain(rows, 60), key=key)
 
 
+def test_texts_longer_than_the_places_kept(documents, shared, monkeypatch):
+    monkeypatch.setattr(rb, "PLACE_BITS", 9)
+    rng = random.Random(4)
+    text = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    repeat = text(150)
+    rows = [(1, text(3000) + repeat + text(1700) + repeat + text(90)), (2, text(40) + repeat + text(600)), (3, text(511)), (4, text(512))]
+    data = np.frombuffer(rows[0][1].encode(), np.uint8)
+    anchor, grams = rb.window_anchors(data, 60)
+    assert len(anchor) == len(data) - 59 and len(grams) == len(data) - rb.GRAM + 1
+    assert all(k <= x <= k + 60 - rb.GRAM for k, x in enumerate(anchor.tolist()))
+    got = sorted(map(tuple, rb.without_repeats(documents(rows), shared, 60).collect()))
+    assert got == sorted(plain(rows, 60)) and got[0][2] >= 300
+
+
 def test_a_real_table(spark, shared):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
