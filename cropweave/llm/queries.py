@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, passages, personal, repeated_bytes, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, packing, passages, personal, repeated_bytes, simhash, token_counts, toxicity
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -119,3 +119,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 10-word windows of benchmark items."""
     docs, items = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
     return decontamination.contamination(docs, items, shared_folder(spark), window=10)
+
+
+@register
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 ids."""
+    path = tokenizer("byte_bpe_50k.json")
+    pieces = packing.pack(table(spark, sf_dir, "documents"), shared_folder(spark), path, pattern(), end_id=0, capacity=2048)
+    return pieces.drop("ids")
