@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, packing, passages, personal, repeated_bytes, simhash, token_counts, toxicity
+from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, packing, passages, personal, repeated_bytes, simhash, token_counts, toxicity, vector_codes
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -127,3 +128,51 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
     pieces = packing.pack(table(spark, sf_dir, "documents"), shared_folder(spark), path, pattern(), end_id=0, capacity=2048)
     return pieces.drop("ids")
+
+
+@register
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code of four entries for every vector after four Lloyd rounds."""
+    rows, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"), shared_folder(spark), parts=4, entries=256, rounds=4, scale=1024)
+    coded = vector_codes.label_errors(rows)
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codebooks.digest()).alias("codebooks_sha256"))
+
+
+def _vector_codes_sql() -> str:
+    """Lloyd rounds unrolled: ``book0`` holds the first entries, ``at0`` the nearest entry of every part, and so on."""
+    steps = """
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, [CAST(FLOOR(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v,
+           row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row
+    FROM embeddings
+    WHERE LEN(embedding) > 0 AND LEN([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = LEN(embedding)
+), parts AS MATERIALIZED (
+    SELECT row, part, v[part * (LEN(v) // 4) + 1 : (part + 1) * (LEN(v) // 4)] AS p FROM kept, range(4) AS t(part)
+), book0 AS MATERIALIZED (
+    SELECT part, row - 1 AS entry, p AS c FROM parts WHERE row <= 256
+)"""
+    for k in range(5):
+        steps += f""", at{k} AS MATERIALIZED (
+    SELECT row, part, MIN({{'d': CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(p, c)]) AS BIGINT), 'e': entry}}) AS best
+    FROM parts JOIN book{k} USING (part) GROUP BY ALL
+)"""
+        if k < 4:
+            steps += f""", book{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, COALESCE(m.c, b.c) AS c
+    FROM book{k} b LEFT JOIN (
+        SELECT part, entry, list(CAST(FLOOR(s / n) AS BIGINT) ORDER BY place) AS c
+        FROM (SELECT part, a.best.e AS entry, place, SUM(p[place]) AS s, COUNT(*) AS n
+              FROM at{k} a JOIN parts USING (row, part), range(1, 17) AS t(place) GROUP BY ALL)
+        GROUP BY ALL) m ON m.part = b.part AND m.entry = b.entry
+)"""
+    return steps + """, coded AS (
+    SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(SUM(best.d) AS BIGINT) AS error
+    FROM at4 GROUP BY row
+)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book4) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
+"""
+
+
+ORACLES["op13_vector_codes"] = _vector_codes_sql()
