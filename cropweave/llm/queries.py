@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropweave.llm import byte_bpe, coded_ids, decontamination, knn_join, packing, passages, personal, repeated_bytes, simhash, token_counts, toxicity, vector_codes
+from cropweave.llm import byte_bpe, coded_ids, conversations, decontamination, knn_join, packing, passages, personal, repeated_bytes, simhash, token_counts, toxicity, vector_codes
 from cropweave.llm.shipping import ship
 from cropweave.session import shared_folder
 
@@ -122,6 +122,80 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, items, shared_folder(spark), window=10)
 
 
+@register
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the damage of the contract."""
+    repair = conversations.Repair(conversations.damaged(table(spark, sf_dir, "conversations")), shared_folder(spark))
+    summary, digests = repair.summary(), repair.digests().withColumnRenamed("conv_id", "own")
+    return summary.join(digests, summary["conv_id"].eqNullSafe(digests["own"])).drop("own")
+
+
+#: Costs, edits and repaired text of what follows a row, for the four grammar states, built up from the last row.
+ORACLES["op11_conversations"] = r"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+           flatten([[(ascii(c) >> k) & 1 FOR k IN range(8)] FOR c IN
+                    string_split(COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' '), '')]) AS bits
+    FROM conversations
+), kinds AS (
+    SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(b AS BIGINT) FOR b IN bits]),
+        LAMBDA c, b: xor(c >> 1, CASE WHEN c & 1 <> b THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)), CAST(4294967295 AS BIGINT)) % 20 AS kind
+    FROM named
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM kinds, range(2) AS r(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(CAST(LENGTH(role) AS VARCHAR) || ':' || role || text)) AS i
+    FROM damaged
+), marked AS MATERIALIZED (
+    SELECT *, role[1] AS initial, LAG(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS initial_before,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+), counted AS MATERIALIZED (
+    SELECT conv_id, COUNT(*) AS n, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps,
+           COUNT(*) FILTER (fault = 'blank') AS blank, COUNT(*) FILTER (fault = 'duplicate') AS duplicate,
+           COUNT(*) FILTER (fault = 'truncated') AS truncated,
+           COUNT(*) FILTER (i > 1 AND initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+), walk AS (
+    SELECT o.conv_id, COALESCE(n, 0) + 1 AS i,
+           {'c': CAST(0 AS BIGINT), 'a': '', 't': ''} AS s0, {'c': CAST(10 AS BIGINT), 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s1,
+           {'c': CAST(5 AS BIGINT), 'a': 'I', 't': chr(10) || 'assistant:'} AS s2, {'c': CAST(0 AS BIGINT), 'a': '', 't': ''} AS s3
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+    UNION ALL
+    SELECT conv_id, i,
+           list_min([b0, {'c': x2.c + 5, 'a': 'I' || x2.a, 't': chr(10) || 'user:' || x2.t}]),
+           list_min([b1, {'c': x2.c + 5, 'a': 'I' || x2.a, 't': chr(10) || 'user:' || x2.t}]),
+           x2, list_min([b3, {'c': b2.c + 5, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t}])
+    FROM (SELECT *, list_min([b2, {'c': b3.c + 5, 'a': 'I' || b3.a, 't': chr(10) || 'assistant:' || b3.t}]) AS x2 FROM (
+        SELECT r.conv_id, r.i,
+               list_min(list_filter([d0, u, CASE initial WHEN 's' THEN k1 WHEN 'u' THEN k2 END], LAMBDA x: x IS NOT NULL)) AS b0,
+               list_min(list_filter([d1, u, CASE initial WHEN 'u' THEN k2 END], LAMBDA x: x IS NOT NULL)) AS b1,
+               list_min(list_filter([d2, v, CASE initial WHEN 'a' THEN k3 END], LAMBDA x: x IS NOT NULL)) AS b2,
+               list_min(list_filter([d3, u, CASE initial WHEN 'u' THEN k2 END], LAMBDA x: x IS NOT NULL)) AS b3
+        FROM (
+            SELECT m.conv_id, m.i, m.initial,
+                   {'c': s0.c + 2, 'a': 'D' || s0.a, 't': s0.t} AS d0, {'c': s1.c + 2, 'a': 'D' || s1.a, 't': s1.t} AS d1,
+                   {'c': s2.c + 2, 'a': 'D' || s2.a, 't': s2.t} AS d2, {'c': s3.c + 2, 'a': 'D' || s3.a, 't': s3.t} AS d3,
+                   CASE WHEN kept THEN {'c': s2.c + 1 + extra, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t} END AS u,
+                   CASE WHEN kept THEN {'c': s3.c + 1 + extra, 'a': 'R' || s3.a, 't': chr(10) || 'assistant:' || text || s3.t} END AS v,
+                   CASE WHEN kept THEN {'c': s1.c + extra, 'a': 'K' || s1.a, 't': chr(10) || role || ':' || text || s1.t} END AS k1,
+                   CASE WHEN kept THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t} END AS k2,
+                   CASE WHEN kept THEN {'c': s3.c + extra, 'a': 'K' || s3.a, 't': chr(10) || role || ':' || text || s3.t} END AS k3
+            FROM walk w JOIN (SELECT *, fault IN ('', 'truncated') AS kept, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM marked) m
+              ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i - 1
+        ) r
+    ))
+)
+SELECT w.conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate,
+       COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal, s0.c AS cost, s0.a AS audit, sha256(substr(s0.t, 2)) AS repaired_sha256
+FROM walk w LEFT JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE w.i = 1
+"""
+
+
 @register
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 ids."""
