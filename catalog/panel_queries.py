@@ -155,7 +155,8 @@ FROM (SELECT *, "RP7" * "RP7" AS "RP7S" FROM rolled)
     )
 )
 def rolling_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = trailing_sums(stored_panel(spark, sf_dir)).withColumn("RP7S", squared("RP7"))
+    rain = panel(spark, sf_dir).select("State", "County", "Date", "precip")
+    rolled = trailing_sums(rain).withColumn("RP7S", squared("RP7"))
     return rounded(
         rolled.select("State", "County", "Date", "RP7", "RP15", "RP30", "RP7S")
     )
@@ -167,29 +168,21 @@ SELECT event_id, user_id, {r("V5", "V20")} FROM (
   SELECT event_id, user_id,
     CASE WHEN COUNT(value) OVER w5 = 5 THEN SUM(value) OVER w5 END AS "V5",
     CASE WHEN COUNT(value) OVER w20 = 20 THEN SUM(value) OVER w20 END AS "V20"
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) AS k
-        FROM events)
-  WHERE k = 1
-  WINDOW w5 AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
-    w20 AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+  FROM events
+  WINDOW w5 AS (PARTITION BY user_id ORDER BY ts, event_id
+      ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+    w20 AS (PARTITION BY user_id ORDER BY ts, event_id
+      ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
 """
 )
 def rolling_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing sums per user, cut into minutes: a busy user spreads over many tasks."""
-    first = F.min(F.struct("event_id", "value")).alias("_first")
-    events = (
-        table(spark, sf_dir, "events")
-        .groupBy("user_id", "ts")
-        .agg(first)
-        .select("user_id", "ts", "_first.*")
-    )
+    """Trailing sums over all events of a user, by time and number."""
     rolled = trailing_sums(
-        events,
+        table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"),
         "value",
         {"V5": 5, "V20": 20},
         keys=["user_id"],
-        order="ts",
-        block=F.date_trunc("minute", F.col("ts").cast("timestamp")),
+        order=["ts", "event_id"],
     )
     return rounded(rolled.select("event_id", "user_id", "V5", "V20"))
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropweave import schemas
+from cropweave.operators.ordinals import with_ordinals
 
 RAIN_WINDOWS = {"RP7": 7, "RP15": 15, "RP30": 30}
+BUCKET_ROWS = 100_000
 
 
 def trailing_sums(
@@ -18,84 +20,35 @@ def trailing_sums(
     value: str = "precip",
     windows: Mapping[str, int] = RAIN_WINDOWS,
     keys: Sequence[str] = schemas.REGION_KEYS,
-    order: str = "Date",
-    block: Column | None = None,
+    order: str | Sequence[str] = "Date",
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Sum of the last n rows; NULL until n non-missing values are in the window.
 
-    A region is never sorted as a whole. Its rows are cut into blocks of the order
-    column (default: calendar years for dates), each block is a window of its own,
-    and a block receives the last rows of the blocks before it, at most ``max(n)-1``
-    of them, as an array. A region with most of the rows therefore spreads over many
-    tasks, and the result does not depend on how the blocks are cut.
+    ``order`` is one column or several; rows that tie in all of them are taken in one
+    settled order. Null keys are a region of their own. A region is never windowed as a
+    whole: all rows are numbered by keys and order, numbers are cut into buckets of
+    ``bucket_rows``, and the last ``max(n)-1`` rows of a bucket are copied into the next
+    one, which is all that a window there can reach. A region with most of the rows is
+    spread over as many buckets as it needs, and the result does not depend on the cuts.
     """
-    block = F.year(order) if block is None else block
+    order = [order] if isinstance(order, str) else list(order)
     reach = max(windows.values()) - 1
-    blocked = df.withColumn("_block", block)
-    in_block = W.partitionBy(*keys, "_block").orderBy(order)
-    carried = _carried_rows(blocked, value, keys, order, reach)
-
-    def partial(n: int, what: str) -> Column:
-        frame = in_block.rowsBetween(-(n - 1), 0)
-        return (F.sum if what == "sum" else F.count)(value).over(frame)
-
-    named = list(windows.items())
-    parts = blocked.withColumns(
-        {
-            "_place": F.row_number().over(in_block),
-            **{f"_sum{i}": partial(n, "sum") for i, (_, n) in enumerate(named)},
-            **{f"_count{i}": partial(n, "count") for i, (_, n) in enumerate(named)},
-        }
-    )
-    joined = parts.join(carried, [*keys, "_block"], "left")
-    return joined.select(
-        *df.columns,
-        *[
-            _complete(n, F.col(f"_sum{i}"), F.col(f"_count{i}")).alias(name)
-            for i, (name, n) in enumerate(named)
-        ],
-    )
-
-
-def _carried_rows(
-    blocked: DataFrame, value: str, keys: Sequence[str], order: str, reach: int
-) -> DataFrame:
-    """Per block: the values of the last ``reach`` rows before it, oldest first."""
-    latest = W.partitionBy(*keys, "_block").orderBy(F.col(order).desc())
-    cell = F.col(value).cast("double").alias(value)
-    tails = (
-        blocked.select(*keys, "_block", order, F.struct(cell).alias("_cell"))
-        .withColumn("_recent", F.row_number().over(latest))
-        .filter(F.col("_recent") <= reach)
-        .groupBy(*keys, "_block")
-        .agg(F.array_sort(F.collect_list(F.struct(order, "_cell"))).alias("_tail"))
-    )
-    # ``reach`` earlier blocks always hold enough rows, as none of them is empty.
-    earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(-reach, -1)
-    rows = F.col("_rows")
-    kept = F.slice(rows, F.greatest(F.size(rows) - reach + 1, F.lit(1)), reach)
+    size = max(bucket_rows, reach, 1)
+    ordinal = F.col("_ordinal")
+    bucket = F.floor(ordinal / size)
+    numbered = with_ordinals(df, [*keys, *order])
+    buckets = F.when(
+        F.pmod(ordinal, F.lit(size)) >= size - reach, F.array(bucket, bucket + 1)
+    ).otherwise(F.array(bucket))
+    placed = numbered.withColumn("_bucket", F.explode(buckets))
+    in_bucket = W.partitionBy(*keys, "_bucket").orderBy("_ordinal")
+    sums = {}
+    for name, n in windows.items():
+        frame = in_bucket.rowsBetween(-(n - 1), 0)
+        sums[name] = F.when(F.count(value).over(frame) == n, F.sum(value).over(frame))
     return (
-        tails.withColumn("_tails", F.collect_list("_tail").over(earlier))
-        .withColumn("_rows", F.flatten("_tails"))
-        .select(
-            *keys,
-            "_block",
-            F.transform(kept, lambda row: row["_cell"][value]).alias("_carry"),
-        )
-    )
-
-
-def _complete(n: int, inside: Column, found: Column) -> Column:
-    """Add what the first n-1 rows of a block still lack from earlier blocks."""
-    carry = F.coalesce(F.col("_carry"), F.array().cast("array<double>"))
-    lacking = F.least(F.size(carry), F.lit(n) - F.col("_place"))
-    missing = F.when(
-        lacking > 0, F.slice(carry, F.size(carry) - lacking + 1, lacking)
-    ).otherwise(F.array().cast("array<double>"))
-    present = F.filter(missing, lambda cell: cell.isNotNull())
-    total = F.aggregate(present, F.lit(0.0), lambda a, b: a + b)
-    completed = F.when(
-        found + F.size(present) == n, F.coalesce(inside, F.lit(0.0)) + total
+        placed.withColumns(sums)
+        .filter(F.col("_bucket") == bucket)
+        .drop("_ordinal", "_bucket")
     )
-    # Most rows have all n rows in their own block and need none of the arrays.
-    return F.when(F.col("_place") >= n, F.when(found == n, inside)).otherwise(completed)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cropweave import schemas
 from cropweave.operators import grain, joins, repair, reshape, seasons, sets
+from cropweave.operators.ordinals import with_ordinals
 from cropweave.operators.rolling import trailing_sums
 
 PANEL = "State string, County string, Date date, tmax double, tmin double, precip double, swvl1 double, swvl2 double"
@@ -65,8 +66,8 @@ def rolled_by_hand(frame, windows):
     return pd.concat(parts).sort_values(["State", "County", "Date"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("cut", ["year", "month", "day", "none"])
-def test_trailing_sums_equal_plain_rolling_sums(spark, cut):
+@pytest.mark.parametrize("bucket_rows", [1, 50, 100_000])
+def test_trailing_sums_equal_plain_rolling_sums(spark, bucket_rows):
     random = np.random.default_rng(7)
     start = day("1999-10-01")
     rows = []
@@ -78,13 +79,7 @@ def test_trailing_sums_equal_plain_rolling_sums(spark, cut):
             rows.append(("A", county, start + dt.timedelta(days=int(offset)), rain))
     df = spark.createDataFrame(rows, "State string, County string, Date date, precip double")
     windows = {"RP7": 7, "RP30": 30}
-    block = {
-        "year": None,
-        "month": F.trunc("Date", "month"),
-        "day": F.col("Date"),
-        "none": F.lit(1),
-    }[cut]
-    got = trailing_sums(df, windows=windows, block=block).toPandas()
+    got = trailing_sums(df.repartition(3), windows=windows, bucket_rows=bucket_rows).toPandas()
     got = got.sort_values(["State", "County", "Date"]).reset_index(drop=True)
     want = rolled_by_hand(df.toPandas(), windows)
     for name in windows:
@@ -94,11 +89,63 @@ def test_trailing_sums_equal_plain_rolling_sums(spark, cut):
     assert len(got) == len(rows)
 
 
+def test_trailing_sums_with_null_keys_ties_and_several_order_columns(spark):
+    rows = [(None, None, 1.0, i) for i in range(9)] + [("k", 5, 2.0, i) for i in range(300)]
+    rows += [("k", None, 3.0, i) for i in range(4)] + [(None, 7, None, 0)]
+    df = spark.createDataFrame(rows, "key string, at int, x double, id int").repartition(5)
+    rolled = trailing_sums(df, "x", {"S3": 3}, ["key"], ["at", "id"], bucket_rows=20).collect()
+    got = {(r.key, r.at, r.id): r.S3 for r in rolled}
+    want = {}
+    for key in (None, "k"):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[3]))
+        for i, r in enumerate(own):
+            last = [x[2] for x in own[max(0, i - 2) : i + 1]]
+            want[key, r[1], r[3]] = None if len(last) < 3 or None in last else sum(last)
+    assert got == want and len(rolled) == len(rows)
+    # Without the second column rows tie; each place still counts once.
+    tied = trailing_sums(df, "x", {"S3": 3}, ["key"], "at", bucket_rows=20)
+    assert tied.filter("key = 'k'").agg(F.sum("S3")).first()[0] == 9 + 9 + 8 + 7 + 298 * 6
+
+
+def test_trailing_sums_over_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        # The hour from 1 to 2 comes twice on this day; minutes are 0..239 in true order.
+        hours = spark.range(240).select(
+            F.timestamp_seconds(F.lit(1_730_610_000) + F.col("id") * 60).alias("ts"),
+            F.col("id").cast("double").alias("x"),
+            F.lit("k").alias("key"),
+        )
+        rolled = trailing_sums(hours, "x", {"S4": 4}, ["key"], "ts", bucket_rows=7).collect()
+        assert {r.x: r.S4 for r in rolled} == {i: None if i < 3 else 4 * i - 6 for i in range(240)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_window_of_a_thousand_rows(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("key"), "id", F.lit(1.0).alias("x"))
+    rolled = trailing_sums(df, "x", {"S": 1000}, ["key"], "id", bucket_rows=10)
+    sums = rolled.groupBy("key", "S").count().collect()
+    assert {(r.key, r.S): r["count"] for r in sums} == {
+        (0, None): 999, (1, None): 999, (0, 1000.0): 1501, (1, 1000.0): 1501,
+    }
+
+
+def test_ordinals_count_all_rows_once(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("a"), F.when(F.col("id") > 9, F.col("id")).alias("b"))
+    rows = with_ordinals(df.repartition(7), ["a", "b"]).orderBy("_ordinal").collect()
+    assert [r._ordinal for r in rows] == list(range(1000))
+    order = [(r.a, r.b is not None, r.b or 0) for r in rows]
+    assert order == sorted(order)
+    assert with_ordinals(df.limit(0), ["a"]).count() == 0
+
+
 def test_trailing_sums_never_gather_a_whole_region(spark):
-    df = spark.createDataFrame([], "State string, County string, Date date, precip double")
-    plan = trailing_sums(df)._jdf.queryExecution().optimizedPlan().toString()
-    sorts = [line for line in plan.splitlines() if "windowspec" in line.lower()]
-    assert any("_block" in line for line in sorts)
+    df = spark.range(1000).select(F.lit("A").alias("State"), F.lit("a").alias("County"), F.col("id").alias("Date"), F.lit(1.0).alias("precip"))
+    plan = trailing_sums(df, bucket_rows=40)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspec" in line.lower()]
+    assert windows and all("_bucket" in line or "[_task" in line for line in windows)
 
 
 def test_week_alignment(spark):
