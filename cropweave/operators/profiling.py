@@ -15,11 +15,12 @@ from cropweave.functions import guarded_corr, sequence_means
 from cropweave.operators.grain import numeric_columns
 from cropweave.operators.sets import missing_years
 
-# Up to this many rows a column's quartiles are ranked from all of its values;
-# beyond it only the values in a narrow bracket around each quartile are ranked.
-RANK_ALL_ROWS = 1_000_000
-BRACKET_ACCURACY = 100_000
-BRACKET_MARGIN = 4 / BRACKET_ACCURACY
+# Order statistics are found by counting: cells of a sixteenth of an octave first, then
+# so many equal cells of the one cell that holds the rank, twice, then single values.
+CELLS_PER_OCTAVE = 16
+CELLS = 1 << 16
+# Above any cell number: log2 of a double lies between -1,074 and 1,024.
+OCTAVE_SHIFT, INFINITE_CELL = CELLS_PER_OCTAVE * 1_075, CELLS_PER_OCTAVE * 2_200
 
 
 def _turn(row: DataFrame, names: Sequence[str], label: str, fields: Sequence[str]) -> DataFrame:
@@ -88,65 +89,86 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as (column, q, quantile).
 
-    ``percentile`` would hold every distinct value of a column in one task. Here an
-    approximate percentile only narrows the search: values below the bracket are
-    counted, values inside are counted per value, and the few that remain are ranked.
+    A distributed selection: values are counted in cells, and the one cell that holds a
+    rank is counted anew in finer cells. Every step is one pass that combines before its
+    shuffle and leaves at most 65,537 rows per column and rank, however many rows there
+    are and however many of them are equal. After the three steps a cell is narrower
+    than 2^-35 of its values, so that at most 2^18 doubles are left to tell apart.
     """
     long = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
     long = long.unpivot([], list(columns), "column", "value").dropna()
-    brackets = F.broadcast(_brackets(long, probabilities))  # a row per column and q
-    placed = long.join(brackets, "column").filter(F.col("value") <= F.col("high"))
-    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    counted = placed.groupBy("column", "q", "rows", inside.alias("value")).agg(
-        F.count(F.lit(1)).alias("n")
+    value = F.col("value")
+    octave = F.floor(F.log2(F.abs(value)) * CELLS_PER_OCTAVE) + OCTAVE_SHIFT
+    octave = F.when(F.abs(value) == float("inf"), INFINITE_CELL).otherwise(octave)
+    cell = F.when(value == 0, 0).otherwise(F.signum(value) * octave)
+    counted = long.groupBy("column", cell.alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
-    order = W.partitionBy("column", "q").orderBy(F.col("value").asc_nulls_first())
-    reached = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))
+    whole = W.partitionBy("column")
+    counted = counted.withColumn("rows", F.sum("_n").over(whole))
+    ranks = [
+        end((F.col("rows") - 1) * F.lit(float(q))).cast("bigint")
+        for q in probabilities
+        for end in (F.floor, F.ceil)
+    ]
+    found = _cells_with_ranks(
+        counted.withColumns({"_ranks": F.array_distinct(F.array(*ranks)), "_before": F.lit(0)}),
+        ["column"],
+    )
+    width = F.col("_high") - F.col("_low")
+    fine = F.least(F.floor((value - F.col("_low")) / width * CELLS), F.lit(CELLS - 1))
+    for step in (F.when(width > 0, fine).otherwise(0), F.when(width > 0, fine).otherwise(0), value):
+        found = _refined(long, found, step)
+    reached = F.map_from_entries(F.collect_set(F.struct("_rank", "_low")))
+    by_column = found.withColumn("_rank", F.explode("_ranks")).groupBy("column", "rows").agg(
+        reached.alias("_at")
+    )
+    asked = by_column.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in probabilities])))
     position = (F.col("rows") - 1) * F.col("q")
-    lower = F.floor(position)
+    lower = F.col("_at")[F.floor(position).cast("bigint")]
+    upper = F.col("_at")[F.ceil(position).cast("bigint")]
+    # Equal neighbours are the quantile itself, also where they are infinite.
+    between = F.when(lower == upper, lower).otherwise(
+        lower + (upper - lower) * (position - F.floor(position))
+    )
+    return asked.select("column", "q", between.alias("quantile"))
+
 
-    def value_at(rank: Column) -> Column:
-        return F.min(F.when(F.col("reached") > rank, F.col("value")))
+def _cells_with_ranks(counted: DataFrame, of: Sequence[str]) -> DataFrame:
+    """The counted cells that hold one of the ranks, with the rows before them.
 
-    ranked = counted.withColumn("reached", reached).groupBy("column", "q", "rows")
-    ends = ranked.agg(
-        value_at(lower).alias("_low"), value_at(F.ceil(position)).alias("_high")
+    ``counted`` has a row per cell: ``_n``, ``_low``, ``_high``, and of its group ``rows``,
+    ``_ranks`` and ``_before``, the rows that come before the group.
+    """
+    order = W.partitionBy(*of).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
+    before = F.col("_before") + F.sum("_n").over(order) - F.col("_n")
+    placed = counted.withColumn("_before", before)
+    inside = F.filter(
+        "_ranks",
+        lambda rank: (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n")),
     )
-    share = position - lower
-    found = F.col("_low") + (F.col("_high") - F.col("_low")) * share
-    checked = F.when(
-        F.col("_low").isNull() | F.col("_high").isNull(),
-        F.raise_error(F.lit("quantile outside of its bracket")),
-    ).otherwise(found)
-    return ends.select("column", "q", checked.alias("quantile"))
-
-
-def _brackets(long: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    def near(offset: float) -> Column:
-        points = [min(1.0, max(0.0, q + offset)) for q in probabilities]
-        return F.percentile_approx("value", points, BRACKET_ACCURACY)
-
-    stats = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
-        near(-BRACKET_MARGIN).alias("_lows"),
-        near(BRACKET_MARGIN).alias("_highs"),
+    return (
+        placed.withColumn("_ranks", inside)
+        .filter(F.size("_ranks") > 0)
+        .select("column", "rows", "_before", "_ranks", "_low", "_high")
     )
-    few = F.col("rows") <= RANK_ALL_ROWS
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(q).alias("q"),
-                F.when(few, F.col("_min")).otherwise(F.col("_lows")[i]).alias("low"),
-                F.when(few, F.col("_max")).otherwise(F.col("_highs")[i]).alias("high"),
-            )
-            for i, q in enumerate(probabilities)
-        ]
+
+
+def _refined(long: DataFrame, found: DataFrame, cell: Column) -> DataFrame:
+    """Count the values of every found cell in smaller cells and find the ranks again."""
+    # At most one row per column and rank.
+    cells = F.broadcast(found.withColumnRenamed("column", "_column"))
+    inside = long.join(
+        cells,
+        (F.col("column") == F.col("_column")) & F.col("value").between(F.col("_low"), F.col("_high")),
     )
-    return stats.select("column", "rows", F.explode(wanted).alias("_b")).select(
-        "column", "rows", "_b.*"
+    group = ["column", "rows", "_before", "_ranks"]
+    counted = inside.groupBy(*group, cell.alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("value").alias("_low"),
+        F.max("value").alias("_high"),
     )
+    return _cells_with_ranks(counted, group)
 
 
 def correlation_matrix(

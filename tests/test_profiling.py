@@ -19,12 +19,7 @@ def numbers(spark):
     return spark.createDataFrame(rows, "x double, y double, hot double, flat double").repartition(3).cache()
 
 
-@pytest.mark.parametrize("rank_all", [1_000_000, 0])
-def test_quantiles_are_exact(numbers, monkeypatch, rank_all):
-    """With 0 every column takes the bracket path that big tables take."""
-    monkeypatch.setattr(profiling, "RANK_ALL_ROWS", rank_all)
-    # Few rows: a bracket of four hundredths holds both neighbours of every quartile.
-    monkeypatch.setattr(profiling, "BRACKET_MARGIN", 0.04)
+def test_quantiles_are_exact(numbers):
     got = {
         (r["column"], r["q"]): r["quantile"]
         for r in profiling.quantiles(numbers, ["x", "y", "hot", "flat"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()
@@ -35,6 +30,30 @@ def test_quantiles_are_exact(numbers, monkeypatch, rank_all):
     assert len(got) == 20
 
 
+@pytest.mark.parametrize("cells", [1 << 16, 4])
+def test_quantiles_of_skewed_and_extreme_values(spark, monkeypatch, cells):
+    """With four cells a step leaves many values to the next one."""
+    monkeypatch.setattr(profiling, "CELLS", cells)
+    rows = [(1.5, float(i) ** 9) for i in range(9000)]
+    rows += [(float(x), -float(x)) for x in np.exp(RNG.uniform(-700, 700, 500)) * RNG.choice([-1, 1], 500)]
+    rows += [(5e-324, -0.0), (0.0, 0.0), (float("inf"), 1.7e308), (float("-inf"), -1.7e308)]
+    rows += [(1.5, None), (float("nan"), 1.0), (np.nextafter(1.5, 2), 1.0), (np.nextafter(1.5, 1), 1.0)]
+    df = spark.createDataFrame([(float(a), None if b is None else float(b)) for a, b in rows], "hot double, wide double")
+    shares = [0.0, 0.01, 0.0234, 0.03, 0.25, 0.5, 0.75, 0.97, 0.99, 1.0]
+    got = {(r["column"], r.q): r.quantile for r in profiling.quantiles(df.repartition(5), ["hot", "wide"], shares).collect()}
+    for k, name in enumerate(("hot", "wide")):
+        own = sorted(r[k] for r in rows if r[k] is not None and not np.isnan(r[k]))
+        for q in shares:
+            at = (len(own) - 1) * q
+            low, high = own[int(np.floor(at))], own[int(np.ceil(at))]
+            assert got[name, q] == (low if low == high else low + (high - low) * (at - np.floor(at))), (name, q)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    assert {r["column"]: r.quantile for r in profiling.quantiles(df, ["a", "b"], [0.5]).collect()} == {"b": 1.0}
+
+
 def test_describe_equals_pandas(numbers):
     want = numbers.toPandas().describe()
     for row in profiling.describe_profile(numbers).collect():
