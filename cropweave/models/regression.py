@@ -8,11 +8,7 @@ from typing import Any
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +20,12 @@ from cropweave.functions import (
     year_trend,
 )
 from cropweave.functions.agronomy import PLANTING_PROGRESS
+from cropweave.models.boosting import LeafwiseBoosting
+from cropweave.models.lasso import GramLasso
 from cropweave.session import materialize
 
 VECTOR = "_features"
+DEEPEST = 30  # the limit of Spark's trees
 # The names of the regressors.
 TREND_WEATHER_FEATURES = (
     "Year",
@@ -49,17 +48,19 @@ class Fitted:
     features: tuple[str, ...]
     label: str
     constant: tuple[str, ...] = ()
+    accepts_missing: bool = False
 
     def predict(self, df: DataFrame, prediction: str = "prediction") -> DataFrame:
         """All columns of ``df`` and the prediction; the row's keys travel with it."""
-        scored = self.model.transform(assemble(df, self.features)).drop(VECTOR)
+        missing = "keep" if self.accepts_missing else "error"
+        scored = self.model.transform(assemble(df, self.features, missing)).drop(VECTOR)
         return scored.withColumnRenamed("prediction", prediction)
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Feature vector in column order; a missing feature is an error."""
+def assemble(df: DataFrame, features: Sequence[str], missing: str = "error") -> DataFrame:
+    """Feature vector in column order; a missing feature is an error, or kept as NaN."""
     assembler = VectorAssembler(
-        inputCols=list(features), outputCol=VECTOR, handleInvalid="error"
+        inputCols=list(features), outputCol=VECTOR, handleInvalid=missing
     )
     return assembler.transform(df)
 
@@ -83,7 +84,9 @@ def fit(
     ready = estimator.copy(
         {estimator.featuresCol: VECTOR, estimator.labelCol: label}
     )
-    return Fitted(ready.fit(assemble(rows, used)), used, label, constant)
+    keeps = getattr(estimator, "accepts_missing", False)
+    model = ready.fit(assemble(rows, used, "keep" if keeps else "error"))
+    return Fitted(model, used, label, constant, keeps)
 
 
 def ordinary_least_squares() -> LinearRegression:
@@ -91,45 +94,39 @@ def ordinary_least_squares() -> LinearRegression:
     return LinearRegression(regParam=0.0, solver="normal")
 
 
-def lasso(alpha: float = 0.01, iterations: int = 10_000) -> LinearRegression:
-    """L1 penalty on the raw columns (no internal standardisation).
+def lasso(alpha: float = 0.01, iterations: int = 10_000) -> GramLasso:
+    """L1 penalty on the columns as they are given."""
+    return GramLasso(alpha, iterations)
 
-    The iterations run on the products of the features, which one pass over the rows
-    collects, and not on the rows themselves.
-    """
-    return LinearRegression(
-        elasticNetParam=1.0,
-        regParam=alpha,
-        solver="normal",
-        maxIter=iterations,
-        tol=1e-9,
-        standardization=False,
-    )
 
+def random_forest(
+    trees: int = 50,
+    seed: int = 42,
+    max_depth: int = DEEPEST,
+    bootstrap: bool = True,
+    bins: int = 256,
+) -> RandomForestRegressor:
+    """Trees that see all features at every node, on bootstrap samples unless told otherwise.
 
-def random_forest(trees: int = 50, seed: int = 42, max_depth: int = 12) -> RandomForestRegressor:
-    """Bagged trees that see all features at every node."""
+    Spark grows trees to at most ``DEEPEST`` levels and cuts a feature into ``bins``; rows
+    that still differ behind that many cuts share a leaf.
+    """
     return RandomForestRegressor(
         numTrees=trees,
         seed=seed,
         maxDepth=max_depth,
+        maxBins=bins,
+        bootstrap=bootstrap,
         featureSubsetStrategy="all",
         maxMemoryInMB=1024,
     )
 
 
 def gradient_boosting(
-    rounds: int = 100, rate: float = 0.1, seed: int = 42, max_depth: int = 6
-) -> GBTRegressor:
-    """Boosted trees on 80 % of the rows and features; depth 6 is about 51 leaves."""
-    return GBTRegressor(
-        maxIter=rounds,
-        stepSize=rate,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        maxDepth=max_depth,
-        seed=seed,
-    )
+    rounds: int = 100, rate: float = 0.1, leaves: int = 51, seed: int = 42
+) -> LeafwiseBoosting:
+    """Boosted trees grown leaf by leaf, each on 80 % of the features; missing values are kept."""
+    return LeafwiseBoosting(rounds, rate, leaves, feature_share=0.8, seed=seed)
 
 
 def trend_weather_features(wide: DataFrame) -> DataFrame:

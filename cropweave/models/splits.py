@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +38,10 @@ def split_spans(df: DataFrame, split: str = "split", year: str = "Year") -> Data
     )
 
 
+# Digits of a digest that make a slot: 16^5 slots are counted at a time.
+SLOT_DIGITS = 5
+
+
 def seeded_split(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,43 +49,54 @@ def seeded_split(
     seed: int = 42,
     split: str = "split",
 ) -> DataFrame:
-    """Exact share of held-out rows in an order that depends on keys and seed only.
+    """Exact share of held-out rows in an order that depends on seed, keys and row only.
 
-    Rows are ordered by a digest of (seed, keys), and the first ``n - ceil(share*n)``
-    are ``train``. There is no global sort: rows are counted per leading digits of
-    the digest, the cut falls in one of those slots, and only that slot is ranked.
+    Rows are ordered by a digest of (seed, keys) and then by one of the whole row, and the
+    first ``n - ceil(share*n)`` are ``train``. There is no sort and no ranking: rows are
+    counted per leading digits, the slot with the cut is counted by further digits, and so
+    on to the end of both digests. What still ties there are equal rows, of which any may be
+    taken: they are counted per partition and written out again. A key with most of the rows
+    is therefore cut by the second digest, and no task holds the rows of a slot.
     """
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(key) for key in keys]))
-    marked = df.withColumn("_digest", digest).withColumn(
-        "_slot", F.substring("_digest", 1, 4)
-    )
-    slots = marked.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 65,536 slots (four hexadecimal digits), hence one small window.
-    running = W.orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
-    total = slots.agg(F.sum("_n")).scalar()
-    train_rows = total - F.ceil(F.lit(held_out) * total)
-    cut = (
-        slots.withColumn("_end", F.sum("_n").over(running))
-        .filter(F.col("_end") > train_rows)
-        .agg(
-            F.struct(
-                F.min("_slot").alias("slot"),
-                (train_rows - F.min_by(F.col("_end") - F.col("_n"), "_slot")).alias("take"),
-            )
-        )
-        .scalar()
-    )
-    slot, take = cut.getField("slot"), cut.getField("take")
-    in_slot = W.partitionBy("_slot").orderBy("_digest", *keys)
-    ranked = (
-        marked.filter(F.col("_slot") == slot)
-        .withColumn("_rank", F.row_number().over(in_slot))
-        .withColumn(split, F.when(F.col("_rank") <= take, "train").otherwise("validation"))
-        .drop("_rank")
-    )
-    # With nothing held out there is no cut slot and every row is a training row.
-    sides = marked.filter(slot.isNull() | (F.col("_slot") != slot)).withColumn(
-        split,
-        F.when(slot.isNull() | (F.col("_slot") < slot), "train").otherwise("validation"),
+    by_key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{key}`") for key in keys]))
+    by_row = F.md5(F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns])))
+    marked = df.withColumn("_code", F.concat(by_key, by_row))
+    whole = 32
+    slots = [SLOT_DIGITS, 2 * SLOT_DIGITS, whole + SLOT_DIGITS, 2 * whole]
+    rows = marked.select("_code")
+    first = rows.groupBy(F.substring("_code", 1, slots[0]).alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    total = first.agg(F.sum("_n"))
+    cut = _cut(first.withColumn("_take", total.select(F.col("sum(_n)") - F.ceil(F.lit(held_out) * F.col("sum(_n)"))).scalar()))
+    for before, digits in zip(slots, slots[1:], strict=False):
+        inside = rows.withColumn("_cut", cut).filter(F.substring("_code", 1, before) == F.col("_cut.slot"))
+        counted = inside.groupBy(
+            F.substring("_code", 1, digits).alias("_slot"), F.col("_cut.take").alias("_take")
+        ).agg(F.count(F.lit(1)).alias("_n"))
+        cut = _cut(counted)
+    # With nothing held out there is no cut, and every row is a training row.
+    placed = marked.withColumn("_cut", cut)
+    early = F.col("_cut").isNull() | (F.col("_code") < F.col("_cut.slot"))
+    sides = placed.filter(F.col("_cut").isNull() | (F.col("_code") != F.col("_cut.slot")))
+    sides = sides.withColumn(split, F.when(early, "train").otherwise("validation"))
+    names = [F.col(f"`{name}`") for name in df.columns]
+    equal = placed.filter(F.col("_code") == F.col("_cut.slot")).groupBy(
+        *names, F.col("_cut.take").alias("_take"), F.spark_partition_id().alias("_part")
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    # A row per partition that holds some of the equal rows.
+    parts = W.partitionBy("_take").orderBy("_part").rowsBetween(W.unboundedPreceding, 0)
+    before = F.sum("_n").over(parts) - F.col("_n")
+    copies = equal.withColumn("_before", before).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    taken = F.col("_before") + F.col("_copy") <= F.col("_take")
+    ties = copies.withColumn(split, F.when(taken, "train").otherwise("validation"))
+    return sides.select(*names, split).unionByName(ties.select(*names, split))
+
+
+def _cut(counted: DataFrame) -> Column:
+    """The first slot with more rows up to its end than are taken, and what it gives of them."""
+    running = W.partitionBy("_take").orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
+    ended = counted.withColumn("_end", F.sum("_n").over(running)).filter("_end > _take")
+    found = ended.agg(
+        F.min("_slot").alias("slot"),
+        F.min_by(F.col("_take") - F.col("_end") + F.col("_n"), "_slot").alias("take"),
     )
-    return sides.unionByName(ranked).drop("_digest", "_slot")
+    return found.filter(F.col("slot").isNotNull()).select(F.struct("slot", "take")).scalar()

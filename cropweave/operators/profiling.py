@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropweave.functions import guarded_corr, sequence_means
 from cropweave.operators.grain import numeric_columns
-from cropweave.operators.sets import missing_years
+from cropweave.operators.moments import cross_products
 
 # Order statistics are found by counting: cells of a sixteenth of an octave first, then
 # so many equal cells of the one cell that holds the rank, twice, then single values.
@@ -176,38 +173,11 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson correlation of all pairs over complete pairs, as (x, y, corr).
 
-    Each task reduces its rows to p x p sums with matrix products and emits only
-    those; Spark adds them up. Columns are centred on their means first, to keep the
-    sums small. A constant side gives NULL.
+    Made of the sums of ``cross_products``; nothing runs before the plan does. A constant
+    side gives NULL.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    wide = df.select(*[F.col(name).cast("double").alias(name) for name in names])
-    means = wide.agg(*[F.avg(name).alias(name) for name in names]).first()
-    centre = np.array([0.0 if means[name] is None else means[name] for name in names])
-    upper = np.triu_indices(len(names))
-
-    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = None
-        for batch in batches:
-            values = batch.to_numpy(dtype=float, na_value=np.nan) - centre
-            present = ~np.isnan(values)
-            v, m = np.where(present, values, 0.0), present.astype(float)
-            sums = np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
-            totals = sums if totals is None else totals + sums
-        if totals is not None:
-            picked = totals[:, upper[0], upper[1]]
-            yield pd.DataFrame(
-                np.column_stack([upper[0], upper[1], picked.T]),
-                columns=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
-            ).astype({"i": int, "j": int})
-
-    parts = wide.mapInPandas(
-        moments,
-        "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double",
-    )
-    sums = parts.groupBy("i", "j").agg(
-        *[F.sum(name).alias(name) for name in ("n", "sx", "sy", "sxx", "syy", "sxy")]
-    )
+    sums = cross_products(df, names)
     n = F.col("n")
     spread_x = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
     spread_y = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
@@ -266,29 +236,30 @@ def histogram(
     """Counts in equal bins between each group's own minimum and maximum.
 
     Empty bins are listed with 0. The last bin includes the maximum. ``group`` is a
-    split label, so there are few groups and many rows in each; rows are counted
-    where they lie.
+    split label, so there are few groups and many rows in each: the ranges of all groups
+    are one map, a scalar subquery, and rows are counted where they lie.
     """
     present = values.select(group, value).dropna()
+    low, high = F.min(value).cast("double"), F.max(value).cast("double")
+    single = low == high
     ranges = present.groupBy(group).agg(
-        F.min(value).alias("_min"), F.max(value).alias("_max")
-    )
-    single = F.col("_min") == F.col("_max")
-    ranges = ranges.select(
-        group,
-        F.when(single, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_low"),
-        F.when(single, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_high"),
+        F.struct(
+            F.when(single, low - 0.5).otherwise(low).alias("low"),
+            F.when(single, high + 0.5).otherwise(high).alias("high"),
+        ).alias("_range")
     )
-    width = F.col("_high") - F.col("_low")
-    place = F.floor((F.col(value) - F.col("_low")) / width * bins).cast("int")
-    counts = (
-        present.join(ranges, group)
-        .groupBy(group, F.least(place, F.lit(bins - 1)).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    entries = F.collect_list(F.struct(group, "_range"))
+    # The map becomes a column, so that the subquery is one, however often it is read.
+    located = present.withColumn("_ranges", ranges.agg(F.map_from_entries(entries)).scalar())
+    own = F.col("_ranges")[F.col(group)]
+    place = F.floor((F.col(value) - own["low"]) / (own["high"] - own["low"]) * bins).cast("int")
+    counts = located.groupBy(group, F.least(place, F.lit(bins - 1)).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    width = F.col("_range.high") - F.col("_range.low")
     frame = ranges.select(
         group,
-        "_low",
+        F.col("_range.low").alias("_low"),
         width.alias("_width"),
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
     )
@@ -303,25 +274,40 @@ def histogram(
 def quality_report(
     df: DataFrame, label: str, date: str = "Date", year: str = "Year"
 ) -> DataFrame:
-    """Schema, missing values, date range, missing years and label gaps as one table."""
+    """Schema, missing values, date range, missing years and label gaps as one table.
 
-    def rows(source: DataFrame, check: str, subject: Column, result: Column) -> DataFrame:
-        return source.select(
-            F.lit(check).alias("check"),
-            subject.cast("string").alias("subject"),
-            result.cast("string").alias("result"),
-        )
+    One aggregate over the rows delivers all of it; the years seen, at most a few thousand,
+    are one array of it.
+    """
+    names = df.columns
+    facts = df.agg(
+        F.struct(
+            *[F.count_if(F.col(f"`{name}`").isNull()).alias(f"n{k}") for k, name in enumerate(names)]
+        ).alias("nulls"),
+        F.min(date).cast("string").alias("first"),
+        F.max(date).cast("string").alias("last"),
+        F.collect_set(F.col(year).cast("int")).alias("years"),
+    )
+    entry = "array<struct<check:string,subject:string,result:string>>"
 
-    ends = df.agg(F.min(date).alias("first"), F.max(date).alias("last"))
-    profile = schema_profile(df)
-    parts = [
-        rows(profile, "type", F.col("column"), F.col("type")),
-        rows(null_profile(df), "nulls", F.col("column"), F.col("nulls")),
-        rows(ends, "first_date", F.lit(date), F.col("first")),
-        rows(ends, "last_date", F.lit(date), F.col("last")),
-        rows(missing_years(df, year), "missing_year", F.lit(year), F.col(year)),
-        rows(
-            null_profile(df, [label]), "missing_label", F.col("column"), F.col("nulls")
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    def row(check: str, subject: str, result: Column) -> Column:
+        return F.struct(F.lit(check), F.lit(subject), result.cast("string"))
+
+    kinds = dict(df.dtypes)
+    missing = F.array_except(
+        F.sequence(F.array_min("years"), F.array_max("years")), F.col("years")
+    )
+    gaps = F.when(
+        F.size("years") > 0,
+        F.transform(missing, lambda y: F.struct(F.lit("missing_year"), F.lit(year), y.cast("string"))),
+    ).otherwise(F.array())
+    nulls = [F.col(f"nulls.n{k}") for k in range(len(names))]
+    fixed = F.array(
+        *[row("type", name, F.lit(kinds[name])) for name in names],
+        *[row("nulls", name, n) for name, n in zip(names, nulls, strict=True)],
+        row("first_date", date, F.col("first")),
+        row("last_date", date, F.col("last")),
+        row("missing_label", label, nulls[names.index(label)]),
+    )
+    table = F.concat(fixed.cast(entry), gaps.cast(entry))
+    return facts.select(F.inline(table))

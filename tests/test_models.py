@@ -41,6 +41,23 @@ def test_seeded_split_is_exact(spark, n, share):
     assert marked.exceptAll(again).isEmpty()
 
 
+def test_a_key_with_half_of_the_rows_is_cut(spark):
+    hot = spark.range(4000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("key"), "id")
+    for share in (0.2, 0.5, 0.9):
+        marked = splits.seeded_split(hot, ["key"], share)
+        held = int(np.ceil(share * 4000))
+        assert marked.filter("split = 'validation'").count() == held
+        again = splits.seeded_split(hot.repartition(9), ["key"], share)
+        assert marked.exceptAll(again).isEmpty()
+
+
+def test_equal_rows_are_cut_too(spark):
+    df = spark.range(900).select(F.lit("same").alias("key"), F.lit(None).cast("int").alias("x")).repartition(5)
+    counts = {r.split: r["count"] for r in splits.seeded_split(df, ["key"], 0.3).groupBy("key", "split").count().collect()}
+    assert counts == {"train": 630, "validation": 270}
+    assert splits.seeded_split(df.limit(0), ["key"]).count() == 0
+
+
 def test_seed_changes_the_split(spark):
     one = splits.seeded_split(spark.range(100), ["id"], seed=1)
     two = splits.seeded_split(spark.range(100), ["id"], seed=2)
@@ -84,18 +101,37 @@ def test_least_squares_equals_normal_equations(spark, rows):
 
 
 def test_lasso_shrinks_and_drops(spark, rows):
-    fitted = regression.fit(regression.lasso(alpha=1.2), rows, ["a", "b"])
-    a, b = fitted.model.coefficients
-    assert 0 < a < 2 and b == pytest.approx(0.0, abs=0.1)
-    table = reports.coefficients(spark, fitted, k=1)
-    assert table.first().feature == "a"
+    fitted = regression.fit(regression.lasso(alpha=1.2), rows, ["a", "b", "flat"])
+    table = {r.feature: r.coefficient for r in reports.coefficients(spark, fitted).collect()}
+    assert 0 < table["a"] < 2 and table["b"] == 0.0 and table["flat"] == 0.0
+    assert reports.coefficients(spark, fitted, k=1).first().feature == "a"
+
+
+def test_lasso_meets_its_conditions(spark):
+    """At the optimum every used feature's covariance with the residual is alpha, every other's is below."""
+    x = RNG.normal(size=(400, 12)) + 5
+    x[:, 3] = x[:, 0] + 0.1 * RNG.normal(size=400)
+    y = x[:, 0] - 2 * x[:, 1] + 0.5 * x[:, 5] + RNG.normal(size=400)
+    names = [f"x{i}" for i in range(12)]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y, strict=True)], ", ".join(f"{n} double" for n in names) + ", Yield_bu_acre double")
+    alpha = 0.1
+    fitted = regression.fit(regression.lasso(alpha=alpha), df.repartition(4), names)
+    weights = fitted.model.coefficients.toArray()
+    residual = y - fitted.model.intercept - x @ weights
+    pulls = (x - x.mean(axis=0)).T @ (residual - residual.mean()) / 400
+    used = weights != 0
+    np.testing.assert_allclose(pulls[used], alpha * np.sign(weights[used]), atol=1e-8)
+    assert (np.abs(pulls[~used]) <= alpha + 1e-8).all() and 0 < used.sum() < 12
+    assert residual.mean() == pytest.approx(0.0, abs=1e-8)
+    scored = fitted.predict(df).select("prediction", "Yield_bu_acre").toPandas().sort_values("Yield_bu_acre")
+    np.testing.assert_allclose(scored.prediction, (y - residual)[np.argsort(y)], atol=1e-8)
 
 
 def test_forest_and_boosting_find_the_signal(spark, rows):
     train, validation = splits.temporal_split(rows, 1998)
     models = {
-        "forest": regression.random_forest(trees=10, max_depth=8),
-        "boosted": regression.gradient_boosting(rounds=15, max_depth=4),
+        "forest": regression.random_forest(trees=10),
+        "boosted": regression.gradient_boosting(rounds=15),
         "linear": regression.ordinary_least_squares(),
     }
     table = {r.model: r for r in reports.compare_models(models, train, validation, ["a", "b"]).collect()}

@@ -76,6 +76,19 @@ def test_correlations_equal_pandas(numbers):
     assert ranking.leading_names(top) == ["x"]
 
 
+def test_correlation_of_gaps_and_large_values_runs_nothing_early(spark):
+    frame = RNG.normal(size=(300, 3)) + 1e7
+    frame[:, 2] = frame[:, 0] * 2 + RNG.normal(size=300)
+    frame[RNG.random(frame.shape) < 0.2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in frame], "a double, b double, c double").repartition(4)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    matrix = profiling.correlation_matrix(df)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
+    want = df.toPandas().corr()
+    for r in matrix.collect():
+        assert r["corr"] == pytest.approx(want.loc[r.x, r.y], abs=1e-9)
+
+
 def test_histogram_counts_the_maximum(spark):
     rows = [("a", float(v)) for v in range(61)] + [("b", 5.0), ("b", 5.0), ("a", None)]
     out = profiling.histogram(spark.createDataFrame(rows, "split string, value double")).collect()
@@ -95,6 +108,12 @@ def test_profiles_and_report(spark):
     report = {(r.check, r.subject): r.result for r in profiling.quality_report(df, "label").collect()}
     assert report[("missing_year", "Year")] == "2001"
     assert report[("missing_label", "label")] == "1"
+    assert len(report) == 4 + 4 + 2 + 1 + 1
+    empty = profiling.quality_report(df.limit(0), "label")
+    assert {r.result for r in empty.filter("check = 'nulls'").collect()} == {"0"}
+    assert empty.filter("check = 'missing_year'").isEmpty()
+    plan = profiling.quality_report(df, "label")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 1
     assert report[("type", "Date")] == "date" and report[("last_date", "Date")] == "2002-01-01"
     assert tuple(profiling.shape(df).first()) == (2, 4)
     assert ranking.preview(df, "Date", n=1, last=True).first().Year == 2002
