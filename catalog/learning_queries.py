@@ -20,8 +20,12 @@ from catalog.tables import (
     with_ctes,
 )
 from cropweave import schemas
-from cropweave.models import metrics, regression, reports, scaling, splits
+from cropweave.functions import flatten_steps
+from cropweave.models import boosting, metrics, regression, reports, scaling, splits
+from cropweave.operators import profiling
+from cropweave.operators.ranking import leading_names, top_by_abs
 from cropweave.operators.repair import fill_from_history
+from cropweave.plans.sequences import pad_sequences
 from cropweave.plans.state_months import state_month_dataset
 from cropweave.session import materialize
 
@@ -320,20 +324,243 @@ def lasso_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(reports.coefficients(spark, fitted))
 
 
+# --- lasso over features that never meet -------------------------------------
+# A feature is one group's quantity or discount less that group's training mean, and 0 in
+# all other groups. Such features are orthogonal, so each weight is a soft threshold of
+# its own covariance: the discounts, which tell nothing, get exactly 0.
+_GROUPS = [f"{flag}{line}" for flag in "ANR" for line in range(1, 8)]
+_GROUP_ALPHA = 0.05
+
+
+@register(
+    f"""
+SELECT feature, {rounded_sql("sign(c) * GREATEST(ABS(c) - 0.05e0, 0) / v", 4)} AS coefficient
+FROM (
+  SELECT 'x_' || g AS feature, SUM((x - mx) * (y - my)) / ANY_VALUE(n) AS c,
+    SUM((x - mx) * (x - mx)) / ANY_VALUE(n) AS v
+  FROM (SELECT *, AVG(x) OVER (PARTITION BY g) AS mx, AVG(y) OVER () AS my, COUNT(*) OVER () AS n
+    FROM (SELECT l_returnflag || CAST(l_linenumber AS VARCHAR) AS g,
+        CASE WHEN l_linenumber % 2 = 1 THEN l_quantity ELSE l_discount * 100 END AS x,
+        l_extendedprice / 1000e0 AS y
+      FROM lineitem WHERE year(l_shipdate) <= {LAST_TRAIN_YEAR}))
+  GROUP BY g)
+ORDER BY ABS(coefficient) DESC, feature LIMIT 20
+"""
+)
+def lasso_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest of 21 weights; the features are orthogonal and some weights are 0."""
+    items = _train(
+        table(spark, sf_dir, "lineitem").select(
+            F.year("l_shipdate").alias("Year"),
+            F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("g"),
+            F.when(F.col("l_linenumber") % 2 == 1, F.col("l_quantity"))
+            .otherwise(F.col("l_discount") * 100)
+            .alias("x"),
+            (F.col("l_extendedprice") / 1000).alias(LABEL),
+        )
+    )
+    means = items.groupBy("g").agg(F.avg("x").alias("mean"))
+    centred = items.join(means, "g").select(
+        LABEL,
+        *[
+            F.when(F.col("g") == g, F.col("x") - F.col("mean")).otherwise(0.0).alias(f"x_{g}")
+            for g in _GROUPS
+        ],
+    )
+    names = [f"x_{g}" for g in _GROUPS]
+    fitted = regression.fit(regression.lasso(_GROUP_ALPHA), centred, names)
+    return _fitted(reports.coefficients(spark, fitted, k=20))
+
+
+# --- trees -------------------------------------------------------------------
+TREE_FEATURES = ["Year", *MONTH_FEATURES]
+
+
 def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State matrix with its gaps filled; what stays missing takes the column's 0."""
+    """State matrix with the last year's gaps filled from history; others stay missing."""
     dataset = state_month_dataset(panel(spark, sf_dir), state_yields(spark, sf_dir))
-    dataset = materialize(dataset, "matrix")
-    filled = fill_from_history(dataset, TARGET_YEAR, MONTH_FEATURES)
-    return filled.fillna(0.0, subset=MONTH_FEATURES)
+    return fill_from_history(materialize(dataset, "matrix"), TARGET_YEAR, MONTH_FEATURES)
+
+
+def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix with what is still missing at its training mean."""
+    rows = materialize(_matrix(spark, sf_dir), "matrix")
+    return scaling.fill_with_means(_train(rows), rows, MONTH_FEATURES)
+
+
+_HISTORY = ", ".join(f'AVG("{f}") AS "{f}"' for f in MONTH_FEATURES)
+_FROM_HISTORY = ", ".join(
+    f'CASE WHEN c."Year" = {TARGET_YEAR} THEN COALESCE(c."{f}", h."{f}") ELSE c."{f}" END AS "{f}"'
+    for f in MONTH_FEATURES
+)
+cte(
+    "tree_rows",
+    f"""
+SELECT c."State", c."Year", c."Yield_bu_acre", c."Year" <= {LAST_TRAIN_YEAR} AS fit, {_FROM_HISTORY}
+FROM state_dataset c LEFT JOIN (
+  SELECT "State", {_HISTORY} FROM state_dataset WHERE "Year" < {TARGET_YEAR} GROUP BY 1) h
+ON h."State" = c."State"
+""",
+    "state_dataset",
+)
+cte(
+    "tree_cells",
+    " UNION ALL ".join(
+        f"""SELECT "State", "Year", fit, {i} AS place, '{f}' AS feature, CAST("{f}" AS DOUBLE) AS x,
+        "Yield_bu_acre" - (SELECT AVG("Yield_bu_acre") FROM tree_rows WHERE fit) AS y FROM tree_rows"""
+        for i, f in enumerate(TREE_FEATURES)
+    ),
+    "tree_rows",
+)
+# Every way to cut the training rows in two: behind each value of each feature, with the
+# rows that miss the feature on the right or on the left.
+cte(
+    "tree_cuts",
+    """
+SELECT *, ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn AS gain FROM (
+  SELECT place, feature, x, nx, missing_left, tn, ts,
+    n + CASE WHEN missing_left THEN mn ELSE 0 END AS ln,
+    s + CASE WHEN missing_left THEN ms ELSE 0 END AS ls
+  FROM (
+    SELECT place, feature, x, LEAD(x) OVER v AS nx, SUM(n) OVER v AS n, SUM(s) OVER v AS s
+    FROM (SELECT place, feature, x, COUNT(*) AS n, SUM(y) AS s FROM tree_cells
+          WHERE fit AND x IS NOT NULL GROUP BY 1, 2, 3)
+    WINDOW v AS (PARTITION BY place ORDER BY x))
+  JOIN (
+    SELECT place, COUNT(*) AS tn, SUM(y) AS ts, COUNT(*) - COUNT(x) AS mn,
+      COALESCE(SUM(CASE WHEN x IS NULL THEN y END), 0) AS ms
+    FROM tree_cells WHERE fit GROUP BY 1) USING (place),
+  (VALUES (FALSE), (TRUE)) AS m(missing_left)
+  WHERE NOT missing_left OR mn > 0)
+WHERE ln < tn
+""",
+    "tree_cells",
+)
+cte(
+    "boosted_cut",
+    """
+SELECT * FROM tree_cuts WHERE ln >= 20 AND tn - ln >= 20
+ORDER BY gain DESC, place, missing_left, x LIMIT 1
+""",
+    "tree_cuts",
+)
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT 0 AS tree, node, feature, {r("threshold", "gain", "value", digits=4)} FROM (
+  SELECT 0 AS node, feature, COALESCE((x + nx) / 2, CAST('infinity' AS DOUBLE)) AS threshold,
+    gain, CAST(NULL AS DOUBLE) AS value FROM boosted_cut
+  UNION ALL SELECT 1, NULL, NULL, NULL, ls / ln FROM boosted_cut
+  UNION ALL SELECT 2, NULL, NULL, NULL, (ts - ls) / (tn - ln) FROM boosted_cut)
+""",
+        "boosted_cut",
+    )
+)
+def boosting_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of one split over all features: the best cut there is."""
+    booster = boosting.LeafwiseBoosting(rounds=1, rate=1.0, leaves=2, feature_share=1.0)
+    fitted = regression.fit(booster, _train(_matrix(spark, sf_dir)), TREE_FEATURES)
+    return _fitted(reports.tree_nodes(spark, fitted))
+
+
+cte(
+    "filled_cells",
+    """
+SELECT "State", "Year", fit, place, feature, y,
+  COALESCE(x, AVG(x) FILTER (fit) OVER (PARTITION BY place)) AS x
+FROM tree_cells
+""",
+    "tree_cells",
+)
+cte(
+    "stump",
+    """
+SELECT place, feature, (x + nx) / 2 AS threshold, s / n AS low_side, (ts - s) / (tn - n) AS high_side
+FROM (
+  SELECT place, feature, x, LEAD(x) OVER v AS nx, SUM(n1) OVER v AS n, SUM(s1) OVER v AS s,
+    SUM(n1) OVER (PARTITION BY place) AS tn, SUM(s1) OVER (PARTITION BY place) AS ts
+  FROM (SELECT place, feature, x, COUNT(*) AS n1, SUM(y) AS s1 FROM filled_cells
+        WHERE fit GROUP BY 1, 2, 3)
+  WINDOW v AS (PARTITION BY place ORDER BY x))
+WHERE n < tn
+ORDER BY s * s / n + (ts - s) * (ts - s) / (tn - n) DESC, place, x LIMIT 1
+""",
+    "filled_cells",
+)
+
+
+def _stump(spark: SparkSession, rows: DataFrame) -> regression.Fitted:
+    """A forest of one tree of one split, on all rows."""
+    forest = regression.random_forest(trees=1, max_depth=1, bootstrap=False)
+    return regression.fit(forest, _train(rows), TREE_FEATURES)
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT f.feature, CASE WHEN f.feature = s.feature THEN 1e0 ELSE 0e0 END AS importance
+FROM (VALUES {", ".join(f"('{f}')" for f in TREE_FEATURES)}) AS f(feature), stump s
+ORDER BY importance DESC, f.feature LIMIT 20
+""",
+        "stump",
+    )
+)
+def stump_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(reports.importances(spark, _stump(spark, _complete(spark, sf_dir))))
+
+
+_STUMP_SQL = """(SELECT AVG("Yield_bu_acre") FROM tree_rows WHERE fit)
+    + CASE WHEN c.x <= s.threshold THEN s.low_side ELSE s.high_side END"""
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT t."State", {rounded_sql('t."Yield_bu_acre"', 4)} AS "Actual_Yield",
+  {rounded_sql(_STUMP_SQL, 4)} AS "Predicted_Yield"
+FROM tree_rows t CROSS JOIN stump s
+JOIN filled_cells c ON c.place = s.place AND c."State" = t."State" AND c."Year" = t."Year"
+WHERE t."Year" = {TARGET_YEAR}
+""",
+        "tree_rows",
+        "stump",
+        "filled_cells",
+    )
+)
+def stump_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual and predicted yields of the last year by the best single split."""
+    rows = materialize(_complete(spark, sf_dir), "rows")
+    return _fitted(reports.prediction_report(_stump(spark, rows), rows, TARGET_YEAR))
 
 
-TREE_FEATURES = ["Year", *[f for f in MONTH_FEATURES if f.endswith(("_6", "_7", "_8"))]]
+@register(
+    with_ctes(
+        f"""
+SELECT model, n_rows, {r("mse", "rmse", "mae", "r2", digits=4)}
+FROM (SELECT {METRICS_SQL}
+      FROM (SELECT *, "Yield_bu_acre" - prediction AS e FROM ols WHERE NOT fit))
+CROSS JOIN (VALUES ('linear'), ('scaled'), ('standardised')) AS m(model)
+""",
+        "ols",
+    )
+)
+def compare_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares on features as they are and scaled in two ways: the same metrics."""
+    rows = materialize(weather_model_rows(spark, sf_dir).dropna(subset=[LABEL]), "rows")
+    train, validation = splits.temporal_split(rows, LAST_TRAIN_YEAR)
+    models = {x: regression.ordinary_least_squares() for x in ("linear", "scaled", "standardised")}
+    preparations = {"scaled": scaling.minmax_scale, "standardised": scaling.standard_scale}
+    features = regression.TREND_WEATHER_FEATURES
+    return _fitted(
+        reports.compare_models(models, train, validation, features, preparations=preparations)
+    )
 
 
 @register()
 def lasso_coefs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _matrix(spark, sf_dir)
+    rows = materialize(_complete(spark, sf_dir), "rows")
     train = _train(rows)
     scaled = scaling.minmax_scale(train, train, MONTH_FEATURES)
     return reports.coefficients(
@@ -343,56 +570,130 @@ def lasso_coefs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def rf_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = _train(_matrix(spark, sf_dir))
-    forest = regression.random_forest(trees=50, max_depth=8)
-    return reports.importances(spark, regression.fit(forest, train, TREE_FEATURES))
+    train = _train(_complete(spark, sf_dir))
+    return reports.importances(
+        spark, regression.fit(regression.random_forest(trees=50), train, TREE_FEATURES)
+    )
 
 
 @register()
 def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """100 rounds of 51 leaves over all features, missing ones as they are."""
     train, validation = splits.temporal_split(_matrix(spark, sf_dir), LAST_TRAIN_YEAR)
-    boosted = regression.gradient_boosting(rounds=20, max_depth=4)
+    boosted = regression.gradient_boosting()
     return reports.compare_models({"boosted": boosted}, train, validation, TREE_FEATURES)
 
 
 @register()
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, validation = splits.temporal_split(_matrix(spark, sf_dir), LAST_TRAIN_YEAR)
+    """Four models over all features, each on the features as it takes them."""
+    rows = materialize(_complete(spark, sf_dir), "rows")
+    train, validation = splits.temporal_split(rows, LAST_TRAIN_YEAR)
     models = {
+        "forest": regression.random_forest(trees=100),
         "linear": regression.ordinary_least_squares(),
+        "linear_scaled": regression.ordinary_least_squares(),
         "lasso": regression.lasso(),
-        "forest": regression.random_forest(trees=20, max_depth=6),
-        "boosted": regression.gradient_boosting(rounds=10, max_depth=4),
     }
-    return reports.compare_models(models, train, validation, TREE_FEATURES)
+    scaled = {"linear_scaled": scaling.minmax_scale, "lasso": scaling.minmax_scale}
+    return reports.compare_models(models, train, validation, TREE_FEATURES, preparations=scaled)
+
+
+@register()
+def ranked_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten features most correlated with the yield, and the year, as input of a forest."""
+    dataset = state_month_dataset(panel(spark, sf_dir), state_yields(spark, sf_dir))
+    dataset = materialize(dataset, "matrix")
+    ranked = profiling.target_correlations(dataset, LABEL, TREE_FEATURES)
+    leading = leading_names(top_by_abs(ranked, "corr", k=10))
+    features = list(dict.fromkeys(["Year", *leading]))
+    filled = fill_from_history(dataset, TARGET_YEAR, MONTH_FEATURES)
+    train, validation = splits.temporal_split(filled, LAST_TRAIN_YEAR)
+    return reports.compare_models(
+        {"forest": regression.random_forest(trees=50)},
+        train,
+        validation,
+        features,
+        preparations={"forest": scaling.fill_with_means},
+    )
 
 
 @register()
 def predict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _matrix(spark, sf_dir)
-    forest = regression.random_forest(trees=20, max_depth=6)
-    fitted = regression.fit(forest, _train(rows), TREE_FEATURES)
+    rows = materialize(_complete(spark, sf_dir), "rows")
+    fitted = regression.fit(regression.random_forest(trees=50), _train(rows), TREE_FEATURES)
     return reports.prediction_report(fitted, rows, TARGET_YEAR)
 
 
+# --- sequences ---------------------------------------------------------------
+_VECTOR_SQL = " UNION ALL ".join(
+    f"""SELECT "Year", "State", ("Week" - 1) * {len(schemas.SEQUENCE_FEATURES)} + {i} AS place,
+    CAST("{f}" AS DOUBLE) AS value FROM season_weeks"""
+    for i, f in enumerate(schemas.SEQUENCE_FEATURES)
+)
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT "Year", "State", CAST(place AS INTEGER) AS place, {r("value")} FROM ({_VECTOR_SQL})
+""",
+        "season_weeks",
+    )
+)
+def sequence_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flattened sequences, one row per place of the vector."""
+    flat = _samples(spark, sf_dir).withColumn("flat", flatten_steps("features"))
+    return rounded(flat.select("Year", "State", F.posexplode("flat").alias("place", "value")))
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT "Year", "State", split, {r("scaled", "restored")} FROM (
+  SELECT "Year", "State", split, target AS restored, (target - AVG(target) FILTER (split = 'train') OVER ())
+    / COALESCE(NULLIF(STDDEV_POP(target) FILTER (split = 'train') OVER (), 0), 1) AS scaled
+  FROM (
+    SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST("Year" AS VARCHAR) || '|' || "State"))
+      <= COUNT(*) OVER () - CEIL(0.2e0 * COUNT(*) OVER ()) THEN 'train' ELSE 'validation' END AS split
+    FROM (SELECT "Year", "State", arg_max("Yield_bu_acre", "Week") AS target
+          FROM season_weeks GROUP BY 1, 2)
+    WHERE target IS NOT NULL))
+""",
+        "season_weeks",
+    )
+)
+def sequence_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of a seeded split, scaled by its training part and taken back again."""
+    samples = materialize(_samples(spark, sf_dir).dropna(subset=["target"]), "samples")
+    marked = splits.seeded_split(samples.select("Year", "State", "target"), ["Year", "State"])
+    marked = materialize(marked, "marked")
+    train = marked.filter("split = 'train'")
+    scaled = scaling.standard_scale(train, marked, ["target"])
+    both = scaled.select(
+        "Year", "State", "split", F.col("target").alias("scaled"), F.col("target").alias("restored")
+    )
+    return rounded(scaling.inverse_scale(train, both, ["restored"], "target"))
+
+
 @register()
 def sequence_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences, scaled and flattened, as input of a forest."""
-    samples = materialize(_samples(spark, sf_dir).dropna(subset=["target"]), "samples")
-    train = samples.filter(F.col("Year") < 2000)
+    """Sequences, padded to the season, scaled and flattened, as input of a forest."""
+    samples = _samples(spark, sf_dir).dropna(subset=["target"])
     width = len(schemas.SEQUENCE_FEATURES)
+    samples = materialize(pad_sequences(samples, schemas.SEASON_WEEKS, width), "samples")
+    train = samples.filter(F.col("Year") <= LAST_TRAIN_YEAR)
+    # After scaling 0 is the training mean, which missing values take.
     steps = F.transform(
         "features",
         lambda step: F.transform(step, lambda value: F.coalesce(value, F.lit(0.0))),
     )
     scaled = scaling.scale_sequences(train, samples, width).withColumn("features", steps)
-    vectors = regression.sequence_vectors(
-        scaled.filter(F.size("features") == schemas.SEASON_WEEKS)
-    )
-    forest = regression.random_forest(trees=10, max_depth=4)
+    vectors = materialize(regression.sequence_vectors(scaled), "vectors")
+    forest = regression.random_forest(trees=50)
     ready = forest.copy(
         {forest.featuresCol: regression.VECTOR, forest.labelCol: "target"}
     )
-    model = ready.fit(vectors.filter(F.col("Year") < 2000))
-    scored = model.transform(vectors.filter(F.col("Year") >= 2000))
+    model = ready.fit(vectors.filter(F.col("Year") <= LAST_TRAIN_YEAR))
+    scored = model.transform(vectors.filter(F.col("Year") > LAST_TRAIN_YEAR))
     return scored.select("Year", "State", "target", "prediction")

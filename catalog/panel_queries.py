@@ -232,6 +232,27 @@ def week_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    with_ctes(
+        f"""
+SELECT k."Year", k."State", CAST(k.w - CASE WHEN c.n_w > 35 AND c.max_w - 34 = 2 THEN 1 ELSE 0 END
+  AS INTEGER) AS "Week", {r(*M, "GDD")}
+FROM weekly k JOIN week_counts c ON c."Year" = k."Year"
+WHERE c.n_w = 35 OR k.w > c.max_w - 35
+""",
+        "week_counts",
+    )
+)
+def week_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasons cut to 35 weeks: those of 36 begin at week 2 and move back by one."""
+    season = seasons.growing_season(stored_panel(spark, sf_dir)).transform(add_agronomy)
+    measures = [*M, "GDD"]
+    daily = grain.daily_state_means(season, measures)
+    weekly = grain.weekly_state_means(seasons.season_week(daily), measures)
+    moved = seasons.shift_late_start(seasons.align_season(weekly, weeks=35))
+    return rounded(moved.select("Year", "State", "Week", *measures))
+
+
 @register(
     with_ctes(
         """

@@ -23,14 +23,18 @@ from cropweave.functions import year_trend
 from cropweave.models.splits import label_split
 from cropweave.operators import profiling, sets
 from cropweave.operators.ranking import preview, top_by_abs
+from cropweave.plans.sequences import sequence_samples
 from cropweave.plans.state_months import state_month_dataset
+from cropweave.plans.weather import modeling_days
 
 M = schemas.MEASURES
 COLUMNS = ["Date", "State", *M, "GDD", "Heat_Stress", "Year", "Month", "Day", schemas.LABEL]
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_days(spark, sf_dir).select(*COLUMNS)
+    """The daily modelling table; its panel alone is stored, as the extension reads it again."""
+    days = modeling_days(stored_panel(spark, sf_dir), state_yields(spark, sf_dir))
+    return days.select(*COLUMNS)
 
 
 def per_column(names, template: str, source: str) -> str:
@@ -216,6 +220,36 @@ def feature_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profiling.histogram(label_split(items, LAST_TRAIN_YEAR)))
 
 
+_SEQUENCE_VALUES = " UNION ALL ".join(
+    f"""SELECT CASE WHEN "Year" <= {LAST_TRAIN_YEAR} THEN 'train' ELSE 'validation' END AS split,
+    {rounded_sql(f'"{name}"')} AS v FROM season_weeks"""
+    for name in ("tmax", "tmin", "precip", "GDD")
+)
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT split, CAST(b.bin AS INTEGER) AS bin, {rounded_sql("(lo + (hi - lo) * b.bin / 60e0)")} AS lower,
+  (SELECT COUNT(*) FROM ({_SEQUENCE_VALUES}) w
+   WHERE v IS NOT NULL AND w.split = s.split AND LEAST(FLOOR((v - lo) / (hi - lo) * 60), 59) = b.bin) AS n
+FROM (SELECT split, MIN(v) AS lo, MAX(v) AS hi FROM ({_SEQUENCE_VALUES}) GROUP BY 1) s
+CROSS JOIN (SELECT unnest(generate_series(0, 59)) AS bin) b
+""",
+        "season_weeks",
+    )
+)
+def sequence_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the sequences, of all steps and four features, per split."""
+    names = list(schemas.SEQUENCE_FEATURES)
+    step = F.col("_step")
+    wanted = F.array(*[step[names.index(name)] for name in ("tmax", "tmin", "precip", "GDD")])
+    steps = sequence_samples(stored_days(spark, sf_dir)).select("Year", F.explode("features").alias("_step"))
+    # A value may lie on the edge of a bin: rounding first settles it alike in both engines.
+    values = rounded(steps.select("Year", F.explode(wanted).alias("value")))
+    return rounded(profiling.histogram(label_split(values, LAST_TRAIN_YEAR)))
+
+
 @register(
     """
 SELECT DISTINCT n.n_name AS "State", s.s_name AS "County"

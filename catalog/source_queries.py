@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.registry import register, rounded, rounded_sql
-from catalog.tables import county_yields, panel, stored_panel, table, with_ctes
+from catalog.registry import r, register, rounded, rounded_sql
+from catalog.tables import county_yields, panel, state_yields, table, with_ctes
 from cropweave import schemas, sources
+from cropweave.functions import title_case, to_double
 from cropweave.operators import regions
-from cropweave.operators.repair import cleanse_yields
-from cropweave.operators.sets import members
+from cropweave.operators.repair import cleanse_yields, drop_missing_label
+from cropweave.operators.sets import members, stack
 from cropweave.plans.state_months import yield_trend as trend
+from cropweave.plans.weather import modeling_days
 from cropweave.session import scratch_path
 
 
-def survey_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def survey_payloads(
+    spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Response texts, one per customer: its yearly order value as survey records.
 
     Small values are withheld as ``(D)``, big ones carry a thousands separator, every
@@ -59,6 +63,7 @@ def survey_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     failure = F.lit('{"error":["no data"]}')
     return answers.select(
+        *keep,
         F.when(F.col("c_acctbal") < 0, failure)
         .otherwise(F.to_json(F.struct("data")))
         .alias("payload")
@@ -97,9 +102,90 @@ FROM ({_SURVEY_SQL}) WHERE v >= 1000 AND v < 4000
 """
 )
 def yield_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yields of whole years by state, in order; the trend keeps the reference period."""
     records = sources.parse_payloads(survey_payloads(spark, sf_dir))
-    typed = cleanse_yields(records, period="YEAR")
-    return rounded(trend(typed.withColumn("reference_period_desc", F.lit("YEAR")), True))
+    typed = records.select(
+        F.col("year").cast("int").alias("Year"),
+        title_case("state_name").alias("State"),
+        to_double("Value").alias(schemas.LABEL),
+        "reference_period_desc",
+    )
+    return rounded(trend(drop_missing_label(typed), by_state=True))
+
+
+@register(
+    f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS "Year",
+  {rounded_sql("AVG(CAST(ROUND(o_totalprice * 100) AS BIGINT)) / 100000e0")} AS "Yield_bu_acre"
+FROM orders GROUP BY 1 ORDER BY 1
+"""
+)
+def national_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The national form: one yield a year, beside records of another reference period."""
+    cents = F.rint(F.col("o_totalprice") * 100).cast("bigint")
+    yearly = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.year("o_orderdate").alias("Year"))
+        .agg((F.avg(cents) / 100000).alias(schemas.LABEL))
+    )
+    periods = F.array(F.lit("YEAR"), F.lit("YEAR - AUG FORECAST"))
+    return rounded(trend(yearly.withColumn("reference_period_desc", F.explode(periods))))
+
+
+@register(
+    f"""
+SELECT CAST(y AS INTEGER) AS "Year",
+  UPPER(LEFT(n_name, 1)) || LOWER(SUBSTR(n_name, 2)) AS "State",
+  UPPER(LEFT(c_name, 1)) || LOWER(SUBSTR(c_name, 2)) AS "County",
+  CAST(v AS DOUBLE) AS "Yield_bu_acre"
+FROM ({_SURVEY_SQL}), range(2) WHERE v >= 1000 AND v < 4000
+"""
+)
+def yield_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw survey columns written in two parts, read again and cleansed together.
+
+    Without the reference period both records of a year are kept.
+    """
+    records = sources.parse_payloads(survey_payloads(spark, sf_dir))
+    early = F.col("year") <= "1997"
+    parts = []
+    for half in (early, ~early):
+        path = scratch_path(spark, "yields")
+        sources.write_yields(records.filter(half), path, on_empty="allow")
+        parts.append(spark.read.schema(_YIELD_COLUMNS).parquet(path))
+    return rounded(cleanse_yields(*parts, county=True))
+
+
+_YIELD_COLUMNS = "Value string, year string, state_name string, county_name string"
+
+
+@register(
+    with_ctes(
+        f"""
+SELECT "Date", "State", {r(*schemas.MEASURES, "GDD", "Heat_Stress")}, "Year", "Month", "Day",
+  {r("Yield_bu_acre")}
+FROM modeling WHERE "Year" BETWEEN 1998 AND 1999
+""",
+        "modeling",
+    )
+)
+def front_door(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather written, scanned, made into the modelling table, written, two years read back."""
+    raw, built = scratch_path(spark, "weather"), scratch_path(spark, "days")
+    names = {own: name for name, own in schemas.WEATHER_RENAMES.items()}
+    weather = panel(spark, sf_dir).withColumn("Date", F.col("Date").cast("timestamp_ntz"))
+    weather.withColumnsRenamed(names).withColumn("aoi_id", F.lit("x")).write.parquet(raw)
+    columns = ["date", "adm1_name", "adm2_name", *schemas.MEASURES]
+    scanned = sources.read_weather(spark, raw, columns)
+    absent = sources.read_weather(spark, scratch_path(spark, "none"), columns, on_missing="empty")
+    days = modeling_days(stack(scanned, absent), state_yields(spark, sf_dir))
+    sources.write_features(days, built)
+    kept = sources.read_features(spark, built, (1998, 1999))
+    return rounded(
+        kept.select(
+            "Date", "State", *schemas.MEASURES, "GDD", "Heat_Stress", "Year", "Month", "Day", schemas.LABEL
+        )
+    )
 
 
 _SPAN = """(SELECT CAST(MIN(year(l_shipdate)) AS INTEGER) AS year_min,
@@ -120,7 +206,7 @@ SELECT 'NATIONAL', NULL, NULL, year_min, year_max FROM {_SPAN}
 """
 )
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weather = stored_panel(spark, sf_dir)
+    weather = panel(spark, sf_dir)
     plan = sources.request_plan(weather, "COUNTY")
     for level in ("STATE", "NATIONAL"):
         plan = plan.unionByName(
@@ -129,6 +215,23 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan
 
 
+@register(
+    """
+SELECT CASE WHEN c_acctbal < 0 THEN 'remaining' WHEN c_acctbal < 1000 THEN 'broken'
+  ELSE 'landed' END AS status, COUNT(*) AS requests
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) GROUP BY 1
+"""
+)
+def request_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses cut short on the way are broken; those that answer with an error remain."""
+    responses = survey_payloads(spark, sf_dir, keep=("c_custkey", "c_acctbal"))
+    cut = F.when(F.col("c_acctbal").between(0, 999.995), F.substring("payload", 1, 40))
+    responses = responses.withColumn("payload", F.coalesce(cut, "payload"))
+    landed = sources.parse_payloads(responses, on_broken="drop", keep=["c_custkey"])
+    broken = sources.broken_payloads(responses)
+    return sources.reconcile_requests(responses.select("c_custkey"), landed, ["c_custkey"], broken)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County yields above 58 count as landed."""
     yields = county_yields(spark, sf_dir).filter(F.col(schemas.LABEL) > 58)
@@ -182,18 +285,26 @@ def _ring(x: F.Column, y: F.Column) -> F.Column:
     )
 
 
-def county_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as county features; a negative balance gives a second ring."""
+def county_features(spark: SparkSession, sf_dir: str, shape: str | None = None) -> DataFrame:
+    """Suppliers as county features; a negative balance gives a second ring.
+
+    With ``shape`` those of one ring as ``Polygon``, or those of two as ``MultiPolygon``.
+    """
     x, y = F.col("s_suppkey").cast("double"), F.col("s_nationkey").cast("double")
-    rings = F.when(F.col("s_acctbal") < 0, F.array(_ring(x, y), _ring(x + 2, y))).otherwise(
-        F.array(_ring(x, y))
-    )
+    two = F.array(_ring(x, y), _ring(x + 2, y))
+    rings = F.when(F.col("s_acctbal") < 0, two).otherwise(F.array(_ring(x, y)))
+    suppliers = table(spark, sf_dir, "supplier")
+    if shape == "Polygon":
+        suppliers = suppliers.filter(F.col("s_acctbal") >= 0)
+    elif shape == "MultiPolygon":
+        suppliers = suppliers.filter(F.col("s_acctbal") < 0)
+        rings = F.array(F.array(_ring(x, y)), F.array(_ring(x + 2, y)))
     code = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
     number = F.col("s_suppkey").cast("string")
     feature = F.struct(
         F.lit("Feature").alias("type"),
         number.alias("id"),
-        F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"),
+        F.struct(F.lit(shape or "Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"),
         F.struct(
             F.col("s_acctbal").alias("CENSUSAREA"),
             number.alias("COUNTY"),
@@ -203,7 +314,7 @@ def county_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             code.alias("STATE"),
         ).alias("properties"),
     )
-    return table(spark, sf_dir, "supplier").select(feature.alias("feature"))
+    return suppliers.select(feature.alias("feature"))
 
 
 def state_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +347,8 @@ def _flat_region(features: DataFrame) -> DataFrame:
         F.col("feature.properties.NAME").alias("County"),
         F.col("feature.properties.State_Name").alias("State"),
         F.col("feature.properties.CENSUSAREA").alias("area"),
-        F.size("feature.geometry.coordinates").alias("n_rings"),
-        F.col("feature.geometry.coordinates")[0][0][0].alias("west"),
+        F.size(F.flatten("feature.geometry.coordinates")).alias("n_rings"),
+        F.col("feature.geometry.coordinates")[0][0][0][0].alias("west"),
     )
 
 
@@ -254,9 +365,11 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(_FLAT_SQL)
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counties out as collections, in again, enriched, out and in once more."""
+    """Counties of both shapes out as collections, in again, enriched, out and in once more."""
     raw, built = scratch_path(spark, "counties"), scratch_path(spark, "regions")
-    sources.write_collections(county_features(spark, sf_dir), raw)
+    for shape in ("Polygon", "MultiPolygon"):
+        features = county_features(spark, sf_dir, shape)
+        sources.write_collections(features, raw, mode="append", partitions=1)
     counties = sources.explode_features(sources.read_collections(spark, raw))
     sources.write_collections(
         regions.build_regions(counties, state_features(spark, sf_dir)), built
@@ -317,7 +430,7 @@ def polygon_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = regions.region_table(enriched_regions(spark, sf_dir))
     found = regions.lookup_polygons(pairs, places, on_missing="null")
     return found.select(
-        "State", "County", "n_rings", F.col("Coordinates")[0][0][0].alias("west")
+        "State", "County", "n_rings", F.col("Coordinates")[0][0][0][0].alias("west")
     )
 
 

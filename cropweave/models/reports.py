@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -15,6 +15,8 @@ from cropweave.models.regression import Fitted, fit
 from cropweave.operators.ranking import top_by, top_by_abs
 from cropweave.session import materialize
 
+Preparation = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
+
 
 def _weights(spark: SparkSession, fitted: Fitted, values: Sequence[float], name: str) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(fitted.features, values, strict=True)]
@@ -46,24 +48,48 @@ def prediction_report(
     )
 
 
+def tree_nodes(spark: SparkSession, fitted: Fitted) -> DataFrame:
+    """Nodes of boosted trees: ``feature`` and ``threshold`` of a split, ``value`` of a leaf."""
+    rows = []
+    for number, tree in enumerate(fitted.model.trees):
+        for node, feature in enumerate(tree.feature):
+            leaf = feature < 0
+            rows.append(
+                (
+                    number,
+                    node,
+                    None if leaf else fitted.features[feature],
+                    None if leaf else float(tree.threshold[node]),
+                    None if leaf else float(tree.gain[node]),
+                    float(tree.value[node]) if leaf else None,
+                )
+            )
+    return spark.createDataFrame(
+        rows, "tree int, node int, feature string, threshold double, gain double, value double"
+    )
+
+
 def compare_models(
     estimators: Mapping[str, Any],
     train: DataFrame,
     validation: DataFrame,
     features: Sequence[str],
     label: str = schemas.LABEL,
+    preparations: Mapping[str, Preparation] | None = None,
 ) -> DataFrame:
     """Metrics of several models over one split.
 
-    Both sides are computed once into the shared folder, not once per model.
+    Both sides are computed once into the shared folder, not once per model. A model named
+    in ``preparations`` gets both sides through that function of (training rows, rows,
+    features), such as a scaler or a filler; the others get them as they are.
     """
     columns = list(dict.fromkeys([*features, label]))
     train = materialize(train.select(*columns))
     validation = materialize(validation.select(*columns))
-    tables = [
-        regression_metrics(
-            fit(estimator, train, features, label).predict(validation), label
-        ).select(F.lit(name).alias("model"), "*")
-        for name, estimator in estimators.items()
-    ]
+    tables = []
+    for name, estimator in estimators.items():
+        prepare = (preparations or {}).get(name, lambda _, rows, __: rows)
+        fitted = fit(estimator, prepare(train, train, features), features, label)
+        scored = fitted.predict(prepare(train, validation, features))
+        tables.append(regression_metrics(scored, label).select(F.lit(name).alias("model"), "*"))
     return reduce(DataFrame.unionByName, tables)

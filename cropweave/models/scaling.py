@@ -70,6 +70,15 @@ def minmax_scale(
     return fitted.withColumns(scaled).drop("_fit")
 
 
+def fill_with_means(
+    train: DataFrame, rows: DataFrame, columns: Sequence[str]
+) -> DataFrame:
+    """Missing values take the column's mean over the training rows."""
+    fitted = _with_statistics(rows, train, columns, mean=F.avg)
+    filled = {name: F.coalesce(F.col(name), _fit("mean", name)) for name in columns}
+    return fitted.withColumns(filled).drop("_fit")
+
+
 def scale_sequences(
     train: DataFrame, rows: DataFrame, width: int, sequence: str = "features"
 ) -> DataFrame:

@@ -33,12 +33,14 @@ def attach_distinct_yields(
     """Inner join to the labels carried by a finer table, one per key.
 
     The finer table repeats a label on every row; it is reduced to one value per key
-    first, so that features are not multiplied.
+    first, so that features are not multiplied. Two labels of one key are an error.
     """
+    conflict = F.raise_error(F.concat_ws(" ", F.lit("more than one label for"), *keys))
+    same = F.min(label).eqNullSafe(F.max(label))
     labels = (
         labelled.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(F.max(label).alias(label))
+        .agg(F.when(same, F.max(label)).otherwise(conflict.cast("double")).alias(label))
     )
     return features.join(labels, list(keys), "inner")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropweave import schemas
+from cropweave.sources.geojson import as_multi_polygons
 
 # Fixed values: (crop, first month, last month); a season may wrap the year.
 CROP_SEASONS = [
@@ -68,6 +69,7 @@ def build_regions(counties: DataFrame, states: DataFrame) -> DataFrame:
     A county whose state is unknown stays, with a missing name.
     """
     names = state_names(states)
+    counties = as_multi_polygons(counties)
     code = F.col("feature.properties.STATE")
     enriched = F.col("feature").withField("properties.State_Name", F.col("State_Name"))
     return counties.join(names, code == F.col("State_FIPS"), "left").select(
@@ -76,7 +78,7 @@ def build_regions(counties: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def region_table(regions: DataFrame) -> DataFrame:
-    """(State, County, Coordinates) of the enriched features."""
+    """(State, County, Coordinates) of the enriched features; coordinates are multi-polygons."""
     return regions.select(
         F.col("feature.properties.State_Name").alias("State"),
         F.col("feature.properties.NAME").alias("County"),
@@ -109,20 +111,20 @@ def expand_crop_regions(
 def lookup_polygons(
     pairs: DataFrame, table: DataFrame, on_missing: str = "error"
 ) -> DataFrame:
-    """Coordinates and ring count for (State, County) pairs, all in one join.
+    """Coordinates and number of rings for (State, County) pairs, all in one join.
 
     A pair without a polygon fails the job, or keeps NULLs with
-    ``on_missing='null'``.
+    ``on_missing='null'``; so does a region whose geometry was lost.
     """
     if on_missing not in ("error", "null"):
         raise ValueError("on_missing is 'error' or 'null'")
-    known = table.withColumn("_known", F.lit(True))
-    joined = pairs.join(known, ["State", "County"], "left")
-    rings: Column = F.when(F.col("Coordinates").isNotNull(), F.size("Coordinates"))
+    joined = pairs.join(table, ["State", "County"], "left")
+    whole = F.col("Coordinates")
+    rings: Column = F.when(whole.isNotNull(), F.size(F.flatten(whole)))
     if on_missing == "error":
         absent = F.concat_ws(", ", "State", "County")
         rings = F.when(
-            F.col("_known").isNull(),
+            whole.isNull(),
             F.raise_error(F.concat(F.lit("no polygon for "), absent)),
         ).otherwise(rings)
     return joined.select(*pairs.columns, "Coordinates", rings.alias("n_rings"))

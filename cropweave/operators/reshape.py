@@ -36,7 +36,10 @@ def pivot_strict(
     names: Sequence[str],
     value: str = "Value",
 ) -> DataFrame:
-    """Long to wide over a fixed column list; a second row in a cell is an error."""
+    """Long to wide over a fixed column list; a second row in a cell is an error.
+
+    So is a name that is not listed, as its values would be lost.
+    """
     repeated = F.raise_error(F.concat(F.lit("more than one row for "), F.first(columns)))
     cell = F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(value))
     return _pivoted(long, index, columns, names).agg(cell)
@@ -49,7 +52,10 @@ def pivot_mean(
     names: Sequence[str],
     value: str = "Value",
 ) -> DataFrame:
-    """Long to wide with the mean of each cell; rows without any value are dropped."""
+    """Long to wide with the mean of each cell; rows without any value are dropped.
+
+    A name that is not listed is an error.
+    """
     # An index without a value is dropped by dropping its cells: a test over all the
     # wide columns would make the optimizer try every combination of their aliases.
     filled = long.dropna(subset=[value])
@@ -61,7 +67,11 @@ def _pivoted(
 ) -> GroupedData:
     # The value list is given, so the schema is fixed and no job looks for it.
     present = long.dropna(subset=[*index, columns])
-    return present.groupBy(*index).pivot(columns, list(names))
+    unlisted = F.raise_error(F.concat(F.lit("not a listed column: "), F.col(columns).cast("string")))
+    listed = F.when(F.col(columns).isin(list(names)), F.col(columns)).otherwise(
+        unlisted.cast(long.schema[columns].dataType)
+    )
+    return present.withColumn(columns, listed).groupBy(*index).pivot(columns, list(names))
 
 
 def spread_periods(

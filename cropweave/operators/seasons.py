@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,6 +35,24 @@ def growing_season(
     return df.filter(in_months(column, first, last))
 
 
+def season_window(
+    df: DataFrame,
+    years: tuple[int, int],
+    lead_days: int = 366,
+    first: int = schemas.SEASON_START_MONTH,
+    last: int = schemas.SEASON_END_MONTH,
+    date: str = "Date",
+) -> DataFrame:
+    """Rows from ``lead_days`` before the first season to the end of the last one.
+
+    Trailing windows need the rows before a season. The test is one date range, which a
+    reader can prune by; a daily panel needs as many days as the longest window has rows.
+    """
+    start = dt.date(years[0], first, 1) - dt.timedelta(days=lead_days)
+    after = dt.date(years[1] + last // 12, last % 12 + 1, 1)
+    return df.filter((F.col(date) >= F.lit(start)) & (F.col(date) < F.lit(after)))
+
+
 def extend_to_year_end(
     df: DataFrame,
     keys: Sequence[str] = schemas.REGION_KEYS,
@@ -65,7 +84,7 @@ def season_week(df: DataFrame, date: str = "Date") -> DataFrame:
     dated = df.withColumns({"Year": F.year(date), "Week": F.weekofyear(date)})
     first = dated.groupBy("Year").agg(F.min("Week").alias("_first"))
     return (
-        dated.join(F.broadcast(_by_calendar_year(first)), "Year")
+        dated.join(first, "Year")
         .withColumn("Week", F.col("Week") - F.col("_first") + 1)
         .drop("_first")
     )
@@ -80,7 +99,7 @@ def aligned_season_weeks(
     it and the other rows are gone before any averaging.
     """
     dated = df.withColumns({"Year": F.year(date), "Week": F.weekofyear(date)})
-    stats = F.broadcast(_by_calendar_year(week_stats(dated)))
+    stats = week_stats(dated)
     keep = (F.col("n_weeks") == weeks) | (F.col("Week") > F.col("max_week") - weeks)
     return (
         dated.join(stats, "Year")
@@ -106,14 +125,14 @@ def week_stats(df: DataFrame) -> DataFrame:
 
 def align_season(df: DataFrame, weeks: int = schemas.SEASON_WEEKS) -> DataFrame:
     """Keep years with exactly ``weeks`` weeks whole, and the last ``weeks`` of others."""
-    stats = F.broadcast(_by_calendar_year(week_stats(df)))
+    stats = week_stats(df)
     keep = (F.col("n_weeks") == weeks) | (F.col("Week") > F.col("max_week") - weeks)
     return df.join(stats, "Year").filter(keep).drop("min_week", "max_week", "n_weeks")
 
 
 def shift_late_start(df: DataFrame) -> DataFrame:
     """Move the weeks of a year that starts at week 2 back by one."""
-    stats = F.broadcast(_by_calendar_year(week_stats(df))).select("Year", "min_week")
+    stats = week_stats(df).select("Year", "min_week")
     moved = F.when(F.col("min_week") == 2, F.col("Week") - 1).otherwise(F.col("Week"))
     return df.join(stats, "Year").withColumn("Week", moved).drop("min_week")
 
@@ -123,8 +142,3 @@ def renumber_weeks(df: DataFrame, keys: Sequence[str] = ("Year", "State")) -> Da
     order = W.partitionBy(*keys).orderBy("Week")
     return df.withColumn("Week", F.row_number().over(order))
 
-
-def _by_calendar_year(stats: DataFrame) -> DataFrame:
-    # One row per year of the DATE range: at most 9,999 rows of a few integers,
-    # whatever the size of the panel, so these tables may be broadcast.
-    return stats.filter(F.col("Year").between(1, 9999))

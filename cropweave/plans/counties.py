@@ -24,6 +24,7 @@ from cropweave.operators.seasons import (
     extend_to_year_end,
     growing_season,
     renumber_weeks,
+    season_window,
 )
 from cropweave.plans.state_months import SEASON_MONTHS
 
@@ -31,18 +32,23 @@ COUNTY_YEAR = ("State", "County", "Year")
 WEEKLY_MEASURES = (*schemas.MONTHLY_MEASURES, "RP7", "RP30", "RP7S", "SWVLA")
 
 
-def county_month_means(weather: DataFrame) -> DataFrame:
-    """Season means of the six measures by county and month."""
-    season = growing_season(weather).withColumn("GDD", growing_degree_days())
+def county_month_means(
+    weather: DataFrame, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Season means of the six measures by county and month; of some ``years`` if asked."""
+    season = growing_season(weather, years=years).withColumn("GDD", growing_degree_days())
     return monthly_county_means(calendar_columns(season, "Year", "Month"))
 
 
 def county_month_matrix(
-    weather: DataFrame, fill_year: int | None = None, fill_keys: Sequence[str] = ("State",)
+    weather: DataFrame,
+    fill_year: int | None = None,
+    fill_keys: Sequence[str] = ("State",),
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per county-year; one year's gaps filled from earlier years if asked."""
     wide = spread_periods(
-        county_month_means(weather),
+        county_month_means(weather, years),
         COUNTY_YEAR,
         "Month",
         SEASON_MONTHS,
@@ -54,28 +60,38 @@ def county_month_matrix(
     return fill_from_history(wide, fill_year, feature_columns(wide), fill_keys)
 
 
-def county_weeks(weather: DataFrame, extend: bool = True) -> DataFrame:
+def county_weeks(
+    weather: DataFrame, extend: bool = True, years: tuple[int, int] | None = None
+) -> DataFrame:
     """Aligned weekly means by county with trailing rain and soil moisture.
 
-    Rain is summed before the season filter, so April keeps its March context.
+    Rain is summed before the season filter, so April keeps its March context. With
+    ``years`` rows from a year before the first season on are summed; where the panel is
+    extended, that needs all years for its averages.
     """
     panel = extend_to_year_end(weather) if extend else weather
+    panel = season_window(panel, years) if years else panel
     rolled = trailing_sums(panel, windows={"RP7": 7, "RP30": 30})
     derived = rolled.withColumns(
         {"GDD": growing_degree_days(), "RP7S": squared("RP7"), "SWVLA": soil_moisture()}
     )
-    season = growing_season(derived).dropna(subset=["State", "County"])
+    season = growing_season(derived, years=years).dropna(subset=["State", "County"])
     weekly = weekly_county_means(aligned_season_weeks(season), WEEKLY_MEASURES)
     return renumber_weeks(weekly, ("Year", "State", "County"))
 
 
-def county_week_matrix(weather: DataFrame, wide: bool = False, extend: bool = True) -> DataFrame:
+def county_week_matrix(
+    weather: DataFrame,
+    wide: bool = False,
+    extend: bool = True,
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
     """One row per county-year: weekly arrays, or columns ``<measure>_W<n>``.
 
     The wide form has up to 310 columns; the array form holds the same values and
     stays compiled.
     """
-    weeks = county_weeks(weather, extend)
+    weeks = county_weeks(weather, extend, years)
     if not wide:
         return gather_periods(weeks, COUNTY_YEAR, "Week", WEEKLY_MEASURES)
     numbers = range(1, schemas.SEASON_WEEKS + 1)

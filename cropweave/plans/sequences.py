@@ -21,10 +21,11 @@ def season_weeks(
     days: DataFrame,
     features: Sequence[str] = schemas.SEQUENCE_FEATURES,
     label: str = schemas.LABEL,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Aligned weekly means by state: daily means first, then weeks, numbered 1..n."""
     measures = [name for name in (*features, label) if name != "Year"]
-    season = growing_season(days).dropna(subset=["State"])
+    season = growing_season(days, years=years).dropna(subset=["State"])
     states = daily_state_means(season.select("Date", "State", *measures), measures)
     weekly = weekly_state_means(aligned_season_weeks(states), measures)
     return renumber_weeks(weekly, ("Year", "State"))
@@ -51,9 +52,10 @@ def sequence_samples(
     days: DataFrame,
     features: Sequence[str] = schemas.SEQUENCE_FEATURES,
     label: str = schemas.LABEL,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Sequence samples from the daily modelling table."""
-    return collect_sequences(season_weeks(days, features, label), features, label)
+    """Sequence samples from the daily modelling table, of some ``years`` if asked."""
+    return collect_sequences(season_weeks(days, features, label, years), features, label)
 
 
 def sequence_shapes(samples: DataFrame) -> DataFrame:
@@ -72,3 +74,17 @@ def require_sequences(samples: DataFrame) -> tuple[int, int]:
     if len(shapes) > 1:
         raise ValueError("sequence samples differ in length")
     return shapes[0]["timesteps"], shapes[0]["n_features"]
+
+
+def pad_sequences(samples: DataFrame, timesteps: int, width: int) -> DataFrame:
+    """All samples with exactly ``timesteps`` steps; missing ones come first, as steps of NULLs.
+
+    A season that began late keeps its last week last. A longer sample is an error, as
+    cutting it would lose weeks.
+    """
+    lacking = F.lit(timesteps) - F.size("features")
+    nothing = F.array(*[F.lit(None).cast("double")] * width)
+    padded = F.concat(F.array_repeat(nothing, lacking), "features")
+    said = F.concat(F.lit(f"a sequence is longer than {timesteps} steps: "), F.size("features").cast("string"))
+    longer = F.raise_error(said).cast("array<array<double>>")
+    return samples.withColumn("features", F.when(lacking < 0, longer).otherwise(padded))

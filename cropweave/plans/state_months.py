@@ -18,7 +18,7 @@ from cropweave.operators.grain import daily_state_means, mean_by
 from cropweave.operators.joins import attach_yields
 from cropweave.operators.reshape import name_features, spread_periods, to_long
 from cropweave.operators.rolling import trailing_sums
-from cropweave.operators.seasons import growing_season
+from cropweave.operators.seasons import growing_season, season_window
 from cropweave.plans.weather import add_agronomy
 
 SEASON_MONTHS = tuple(
@@ -33,14 +33,17 @@ def state_days(weather: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 
 def state_month_means(
-    weather: DataFrame, measures: Sequence[str] = schemas.MONTHLY_MEASURES
+    weather: DataFrame,
+    measures: Sequence[str] = schemas.MONTHLY_MEASURES,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Mean of the daily state means by (State, Year, Month), one column a measure.
 
     Counties are averaged per day before days are averaged per month: a direct mean
-    would weigh days by their number of counties.
+    would weigh days by their number of counties. With ``years`` only their seasons are
+    read, as date ranges that reach the scan.
     """
-    season = growing_season(weather).transform(add_agronomy)
+    season = growing_season(weather, years=years).transform(add_agronomy)
     return mean_by(state_days(season, measures), ["State", "Year", "Month"], measures)
 
 
@@ -53,11 +56,13 @@ def state_month_long(
 
 
 def state_month_matrix(
-    weather: DataFrame, measures: Sequence[str] = schemas.MONTHLY_MEASURES
+    weather: DataFrame,
+    measures: Sequence[str] = schemas.MONTHLY_MEASURES,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per (State, Year), a column per measure and season month."""
     return spread_periods(
-        state_month_means(weather, measures),
+        state_month_means(weather, measures, years),
         ["State", "Year"],
         "Month",
         SEASON_MONTHS,
@@ -65,15 +70,22 @@ def state_month_matrix(
     )
 
 
-def state_month_dataset(weather: DataFrame, yields: DataFrame) -> DataFrame:
+def state_month_dataset(
+    weather: DataFrame, yields: DataFrame, years: tuple[int, int] | None = None
+) -> DataFrame:
     """The matrix beside the yields of its years."""
     labels = yields.select("Year", "State", schemas.LABEL)
-    return attach_yields(state_month_matrix(weather), labels, ["Year", "State"], "inner")
+    return attach_yields(state_month_matrix(weather, years=years), labels, ["Year", "State"], "inner")
 
 
-def add_rolling_features(weather: DataFrame) -> DataFrame:
-    """Trailing rain, its square, soil moisture and mean temperature, before the season filter."""
-    rolled = trailing_sums(weather)
+def add_rolling_features(
+    weather: DataFrame, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Trailing rain, its square, soil moisture and mean temperature, before the season filter.
+
+    With ``years`` rows from a year before the first season on are read.
+    """
+    rolled = trailing_sums(season_window(weather, years) if years else weather)
     return rolled.withColumns(
         {
             "SWVLA": soil_moisture(),
@@ -83,10 +95,12 @@ def add_rolling_features(weather: DataFrame) -> DataFrame:
     )
 
 
-def state_month_rolling_matrix(weather: DataFrame) -> DataFrame:
+def state_month_rolling_matrix(
+    weather: DataFrame, years: tuple[int, int] | None = None
+) -> DataFrame:
     """The twelve-measure matrix, with trailing rain and derived measures."""
     measures = (*schemas.MONTHLY_MEASURES, *ROLLING_MEASURES)
-    return state_month_matrix(add_rolling_features(weather), measures)
+    return state_month_matrix(add_rolling_features(weather, years), measures, years)
 
 
 def yield_trend(records: DataFrame, by_state: bool = False) -> DataFrame:

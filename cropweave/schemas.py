@@ -46,6 +46,8 @@ SURVEY_RECORD = T.StructType(
 SURVEY_PAYLOAD = T.StructType([T.StructField("data", T.ArrayType(SURVEY_RECORD))])
 
 RING = T.ArrayType(T.ArrayType(T.DoubleType()))
+POLYGON = T.ArrayType(RING)
+MULTI_POLYGON = T.ArrayType(POLYGON)
 
 
 def _feature(properties: list[str], coordinates: T.DataType) -> T.StructType:
@@ -82,11 +84,11 @@ def feature_collection(
 ) -> T.StructType:
     """Schema of one collection document.
 
-    ``coordinates`` defaults to polygon rings; pass ``StringType()`` to keep the
-    coordinates as JSON text when polygons and multi-polygons are mixed.
+    ``coordinates`` is JSON text unless a type is given: polygons and multi-polygons nest
+    differently and come mixed.
     """
     feature = _feature(
-        [*COUNTY_PROPERTIES, *extra_properties], coordinates or T.ArrayType(RING)
+        [*COUNTY_PROPERTIES, *extra_properties], coordinates or T.StringType()
     )
     return T.StructType(
         [

@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from cropweave.sources.geojson import (
+    as_multi_polygons,
     collections,
     explode_features,
     read_collections,
@@ -8,8 +9,10 @@ from cropweave.sources.geojson import (
 )
 from cropweave.sources.grid import flatten_grid
 from cropweave.sources.records import expand_records
-from cropweave.sources.sinks import write_features, write_yields
+from cropweave.sources.sinks import read_features, write_features, write_yields
 from cropweave.sources.survey import (
+    broken_files,
+    broken_payloads,
     missing_requests,
     parse_payloads,
     read_payloads,
@@ -19,6 +22,9 @@ from cropweave.sources.survey import (
 from cropweave.sources.weather import canonical_weather, read_weather
 
 __all__ = [
+    "as_multi_polygons",
+    "broken_files",
+    "broken_payloads",
     "canonical_weather",
     "collections",
     "expand_records",
@@ -27,6 +33,7 @@ __all__ = [
     "missing_requests",
     "parse_payloads",
     "read_collections",
+    "read_features",
     "read_payloads",
     "read_weather",
     "reconcile_requests",

@@ -25,8 +25,32 @@ def read_collections(
 
 
 def explode_features(documents: DataFrame) -> DataFrame:
-    """One row per feature, in a struct column ``feature``."""
-    return documents.select(F.explode("features").alias("feature"))
+    """One row per feature, in a struct column ``feature``, with coordinates of one nesting."""
+    return as_multi_polygons(documents.select(F.explode("features").alias("feature")))
+
+
+def as_multi_polygons(features: DataFrame) -> DataFrame:
+    """Every polygon as a multi-polygon of one, so that both have one type.
+
+    Coordinates may be JSON text, polygons or already multi-polygons. A geometry of another
+    kind, or one whose text can't be read, has NULL coordinates and keeps its type.
+    """
+    kind = features.select("feature.geometry.coordinates").schema[0].dataType
+    own, shape = F.col("feature.geometry.coordinates"), F.col("feature.geometry.type")
+    if kind == schemas.MULTI_POLYGON:
+        return features
+    if isinstance(kind, T.StringType):
+        whole = F.when(
+            shape == "Polygon", F.array(F.from_json(own, schemas.POLYGON))
+        ).when(shape == "MultiPolygon", F.from_json(own, schemas.MULTI_POLYGON))
+    else:
+        whole = F.when(own.isNotNull(), F.array(own))
+    # Text that can't be read gives an array of one NULL.
+    read = F.filter(whole, lambda polygon: polygon.isNotNull())
+    known = F.when(F.size(read) > 0, read)
+    name = F.when(known.isNotNull(), "MultiPolygon").otherwise(shape)
+    geometry = F.struct(name.alias("type"), known.alias("coordinates"))
+    return features.withColumn("feature", F.col("feature").withField("geometry", geometry))
 
 
 def collections(features: DataFrame, per_document: int = 1000) -> DataFrame:
@@ -49,10 +73,13 @@ def collections(features: DataFrame, per_document: int = 1000) -> DataFrame:
 
 
 def write_collections(
-    features: DataFrame, path: str, per_document: int = 1000, mode: str = "errorifexists"
+    features: DataFrame,
+    path: str,
+    per_document: int = 1000,
+    mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
-    """Write one document per line; a small dimension ends up as one document."""
-    probe = features.select(F.lit(1)).take(per_document + 1)
-    if len(probe) <= per_document:
-        features = features.repartition(1)
+    """Write one document per line; with ``partitions`` in so many files."""
+    if partitions:
+        features = features.repartition(partitions)
     collections(features, per_document).write.mode(mode).text(path)

@@ -17,15 +17,17 @@ def flatten_grid(
 ) -> DataFrame:
     """One row per cell of a (time x lat x lon) cube; a missing cell is 0.
 
-    Time slices are separated first and can be spread over ``slice_partitions``
-    tasks before they are expanded to cells, so that one big cube does not stay in
-    one task. With ``base_date`` the time value is also decoded as days since then.
+    Time slices are separated first and dealt out anew before they are expanded to
+    cells, so that one big cube does not stay in one task: into even partitions of the
+    size that Spark aims at, or into ``slice_partitions``. With ``base_date`` the time value is also decoded as days since then.
     """
     slices = cubes.select(
         *keys, "lat", "lon", F.explode(F.arrays_zip("time", value)).alias("slice")
     )
     if slice_partitions:
         slices = slices.repartition(slice_partitions)
+    else:
+        slices = slices.hint("rebalance")
     rows = slices.select(
         *keys,
         "lon",

@@ -10,28 +10,82 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropweave import schemas
 from cropweave.operators.sets import missing_keys
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per survey record from landed response files."""
-    documents = (
-        spark.read.schema(schemas.SURVEY_PAYLOAD).option("multiLine", True).json(path)
+BROKEN = "_broken"
+WITH_BROKEN = T.StructType([*schemas.SURVEY_PAYLOAD, T.StructField(BROKEN, T.StringType())])
+
+
+def read_payloads(spark: SparkSession, path: str, on_broken: str = "error") -> DataFrame:
+    """One row per survey record from landed response files.
+
+    A file that is no whole JSON document fails the job, naming the file, or is left out
+    with ``on_broken='drop'``; ``broken_files`` lists them.
+    """
+    files = _files(spark, path).select(F.col("_metadata.file_path").alias("file"), _parsed("text").alias("response"))
+    return _records(files, F.col("response.data"), F.col(f"response.{BROKEN}"), F.col("file"), on_broken)
+
+
+def broken_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``text`` of the landed files that are no whole JSON document."""
+    texts = _files(spark, path).select(F.col("_metadata.file_path").alias("file"), "text")
+    return broken_payloads(texts, "text")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "text")
+
+
+def parse_payloads(
+    df: DataFrame, payload: str = "payload", on_broken: str = "error", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per survey record from a column of response texts, beside the columns to keep.
+
+    A text that is no whole JSON document fails the job or is left out, as in
+    ``read_payloads``; ``broken_payloads`` has those rows.
+    """
+    return _records(
+        df.select(*keep, payload, _parsed(payload).alias("response")),
+        F.col("response.data"),
+        F.col(f"response.{BROKEN}"),
+        F.col(payload),
+        on_broken,
+        keep,
     )
-    return _records(documents, F.col("data"))
 
 
-def parse_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per survey record from a column of response texts."""
-    parsed = F.from_json(F.col(payload), schemas.SURVEY_PAYLOAD)
-    return _records(df.select(parsed.alias("response")), F.col("response.data"))
+def broken_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Rows whose response is no whole JSON document; an answer without data is whole.
+
+    An empty text is no response at all.
+    """
+    parsed = df.withColumn("_response", _parsed(payload))
+    return parsed.filter(F.col(f"_response.{BROKEN}").isNotNull()).drop("_response")
+
+
+def _parsed(payload: str) -> Column:
+    return F.from_json(payload, WITH_BROKEN, {"columnNameOfCorruptRecord": BROKEN})
 
 
-def _records(documents: DataFrame, data: Column) -> DataFrame:
+def _records(
+    documents: DataFrame,
+    data: Column,
+    broken: Column,
+    source: Column,
+    on_broken: str,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    if on_broken not in ("error", "drop"):
+        raise ValueError("on_broken is 'error' or 'drop'")
+    if on_broken == "error":
+        failure = F.raise_error(F.concat(F.lit("broken response: "), source))
+        data = F.when(broken.isNotNull(), failure.cast(schemas.SURVEY_PAYLOAD["data"].dataType)).otherwise(data)
     # A response without ``data`` gives no rows.
-    return documents.select(F.explode(data).alias("record")).select("record.*")
+    return documents.select(*keep, F.explode(data).alias("record")).select(*keep, "record.*")
 
 
 def request_plan(
@@ -61,14 +115,20 @@ def request_plan(
 
 
 def reconcile_requests(
-    plan: DataFrame, landed: DataFrame, keys: Sequence[str]
+    plan: DataFrame, landed: DataFrame, keys: Sequence[str], broken: DataFrame | None = None
 ) -> DataFrame:
-    """How many planned requests have landed and how many remain."""
+    """How many planned requests have landed, came back broken, or remain.
+
+    ``broken`` has the keys of broken responses; a request that also has a whole one is landed.
+    """
     answered = landed.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    status = F.when(F.col("_hit"), "landed").otherwise("remaining")
+    joined = plan.join(answered, list(keys), "left").withColumn("_bad", F.lit(None).cast("boolean"))
+    if broken is not None:
+        spoilt = broken.select(*keys).distinct().withColumn("_bad", F.lit(True))
+        joined = joined.drop("_bad").join(spoilt, list(keys), "left")
+    status = F.when(F.col("_hit"), "landed").when(F.col("_bad"), "broken").otherwise("remaining")
     return (
-        plan.join(answered, list(keys), "left")
-        .groupBy(status.alias("status"))
+        joined.groupBy(status.alias("status"))
         .agg(F.count(F.lit(1)).alias("requests"))
     )
 

@@ -167,3 +167,16 @@ def test_missing_feature_is_an_error(rows):
     gap = rows.withColumn("a", F.when(F.col("Year") > 1990, F.col("a")))
     with pytest.raises(Exception):
         regression.fit(regression.ordinary_least_squares(), gap, ["a", "b"])
+
+
+def test_each_model_gets_its_own_preparation(spark, rows):
+    train, validation = splits.temporal_split(rows, 1998)
+    models = {x: regression.lasso(alpha=0.3) for x in ("raw", "scaled", "filled")}
+    gaps = train.withColumn("a", F.when(F.col("a") < 2, F.col("a")))
+    own = {"scaled": scaling.minmax_scale, "filled": scaling.fill_with_means}
+    table = {r.model: r.mse for r in reports.compare_models(models, train, validation, ["a", "b"], preparations=own).collect()}
+    assert table["raw"] == pytest.approx(table["filled"]) and table["scaled"] > table["raw"]
+    filled = scaling.fill_with_means(gaps, gaps, ["a"])
+    mean = gaps.agg(F.avg("a")).first()[0]
+    assert filled.filter("a IS NULL").isEmpty()
+    assert filled.filter(F.col("a") == mean).count() == gaps.filter("a IS NULL").count()

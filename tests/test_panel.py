@@ -168,6 +168,11 @@ def test_late_start_shift(spark):
     ]
 
 
+def test_years_beyond_the_calendar_stay(spark):
+    df = spark.createDataFrame([(0, 3), (-5, 1), (12000, 2)], "Year int, Week int")
+    assert seasons.align_season(df).count() == 3 and seasons.shift_late_start(df).count() == 3
+
+
 def test_aligned_weeks_equal_the_separate_steps(spark):
     days = spark.sql(
         "SELECT 'A' AS State, explode(sequence(date'1999-04-01', date'2002-11-30')) AS Date"
@@ -191,6 +196,9 @@ def test_pivots(spark):
     assert sorted(map(tuple, strict.collect())) == [("A", 2000, 1.0, None, None), ("B", 2000, None, None, None)]
     mean = reshape.pivot_mean(long.union(long.filter("State = 'A'").withColumn("Value", F.lit(3.0))), ["State", "Year"], "Feature", names)
     assert list(map(tuple, mean.collect())) == [("A", 2000, 2.0, 3.0, None)]
+    for pivot in (reshape.pivot_strict, reshape.pivot_mean):
+        with pytest.raises(SparkRuntimeException, match="not a listed column: x_5"):
+            pivot(long.fillna(0.0), ["State", "Year"], "Feature", ["x_4"]).collect()
     with pytest.raises(SparkRuntimeException, match="more than one row for x_4"):
         reshape.pivot_strict(long.union(long), ["State", "Year"], "Feature", names).collect()
 
@@ -240,6 +248,8 @@ def test_yield_joins_do_not_multiply(spark):
     daily = spark.createDataFrame([("A", 2000, 9.0)] * 5, "State string, Year int, Yield_bu_acre double")
     assert list(map(tuple, joins.attach_distinct_yields(features, daily).collect())) == [("A", 2000, 1.0, 9.0)]
     assert joins.attach_yields(features, daily.distinct()).count() == 2
+    with pytest.raises(SparkRuntimeException, match="more than one label for A 2000"):
+        joins.attach_distinct_yields(features, daily.union(daily.withColumn("Yield_bu_acre", F.lit(8.0)))).collect()
     with pytest.raises(ValueError):
         joins.attach_yields(features, daily, how="cross")
 

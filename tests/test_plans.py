@@ -109,3 +109,46 @@ def test_yield_trend(spark):
     schema = "Year int, State string, Yield_bu_acre double, reference_period_desc string"
     records = spark.createDataFrame([(2001, "A", 2.0, "YEAR"), (2000, "A", 1.0, "YEAR"), (2000, "A", 9.0, "X")], schema)
     assert list(map(tuple, state_months.yield_trend(records).collect())) == [(2000, 1.0), (2001, 2.0)]
+
+
+def test_short_sequences_are_padded_and_long_ones_refused(spark):
+    schema = "Year int, State string, features array<array<double>>, target double"
+    samples = spark.createDataFrame([(1, "A", [[1.0, 2.0]], 1.0), (2, "A", [[3.0, 4.0]] * 3, 1.0)], schema)
+    padded = {r.Year: r.features for r in sequences.pad_sequences(samples, 3, 2).collect()}
+    assert padded == {1: [[None, None], [None, None], [1.0, 2.0]], 2: [[3.0, 4.0]] * 3}
+    assert sequences.require_sequences(sequences.pad_sequences(samples, 3, 2)) == (3, 2)
+    with pytest.raises(Exception, match="longer than 2 steps"):
+        sequences.pad_sequences(samples, 2, 2).collect()
+
+
+def pushed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_years_reach_the_reader_and_change_nothing(spark, weather, yields, tmp_path):
+    weather.write.parquet(str(tmp_path / "panel"))
+    stored = spark.read.parquet(str(tmp_path / "panel"))
+    years = (2000, 2000)
+    pairs = {
+        "months": (state_months.state_month_dataset(stored, yields, years), state_months.state_month_dataset(stored, yields)),
+        "counties": (counties.county_month_matrix(stored, years=years), counties.county_month_matrix(stored)),
+    }
+    for pruned, whole in pairs.values():
+        assert "GreaterThanOrEqual(Date,2000-04-01)" in pushed(pruned)
+        assert "LessThan(Date,2000-12-01)" in pushed(pruned) or "LessThanOrEqual(Date,2000-11-30)" in pushed(pruned)
+        assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, whole.filter("Year = 2000").collect()))
+    # Trailing windows are computed from a year before the season on.
+    for pruned, whole in (
+        (state_months.state_month_rolling_matrix(stored, years), state_months.state_month_rolling_matrix(stored)),
+        (counties.county_week_matrix(stored, wide=True, years=years), counties.county_week_matrix(stored, wide=True)),
+    ):
+        got, want = pruned.toPandas(), whole.filter("Year = 2000").toPandas()
+        got, want = (x.sort_values(list(x.columns[:3])).reset_index(drop=True) for x in (got, want))
+        pd.testing.assert_frame_equal(got, want)
+    days = modeling_days(weather, yields)
+    from cropweave.sources import read_features, write_features
+
+    write_features(days, str(tmp_path / "days"))
+    one = sequences.sequence_samples(read_features(spark, str(tmp_path / "days"), years), years=years)
+    assert "PartitionFilters: [isnotnull(Year" in pushed(one) and "PushedFilters: [" in pushed(one)
+    assert sorted(one.select("Year", "State").collect()) == [(2000, "A"), (2000, "B")]

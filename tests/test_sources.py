@@ -48,7 +48,28 @@ def test_regions_out_and_in_again(spark, county_file, tmp_path):
         assert table.count() == 5
         assert table.filter("State = 'Alabama'").count() == 3
         assert table.filter("State IS NULL").count() == 2
-        assert table.first()["Coordinates"] == RINGS
+        assert table.first()["Coordinates"] == [RINGS]
+
+
+def test_mixed_geometries_survive(spark, tmp_path):
+    two = {**county(7, "01"), "geometry": {"type": "MultiPolygon", "coordinates": [RINGS, RINGS + RINGS]}}
+    point = {**county(8, "01"), "geometry": {"type": "Point", "coordinates": [0.0, 1.0]}}
+    torn = {**county(9, "01"), "geometry": {"type": "Polygon", "coordinates": "what"}}
+    path, again = tmp_path / "mixed.json", str(tmp_path / "again")
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [county(1, "01"), two, point, torn]}))
+    counties = sources.explode_features(sources.read_collections(spark, str(path), multiline=True))
+    sources.write_collections(regions.build_regions(counties, states(spark)), again, partitions=2)
+    built = sources.explode_features(sources.read_collections(spark, again, schemas.feature_collection(("State_Name",))))
+    kinds = {r.id: r.type for r in built.select("feature.id", "feature.geometry.type").collect()}
+    assert kinds == {"1": "MultiPolygon", "7": "MultiPolygon", "8": "Point", "9": "Polygon"}
+    table = regions.region_table(built)
+    got = {r.County: r.Coordinates for r in table.collect()}
+    assert got == {"c1": [RINGS], "c7": [RINGS, RINGS + RINGS], "c8": None, "c9": None}
+    pairs = table.select("State", "County")
+    rings = {r.County: r.n_rings for r in regions.lookup_polygons(pairs, table, on_missing="null").collect()}
+    assert rings == {"c1": 1, "c7": 3, "c8": None, "c9": None}
+    with pytest.raises(SparkRuntimeException, match="no polygon for Alabama, c"):
+        regions.lookup_polygons(pairs, table).collect()
 
 
 def test_polygon_lookup(spark, county_file):
@@ -85,6 +106,26 @@ def test_payloads(spark, tmp_path):
     assert [r.year for r in parsed.collect()] == ["2000", "2000"]
 
 
+def test_broken_payloads_are_told_apart(spark, tmp_path):
+    record = {"year": "2000", "state_name": "IOWA", "county_name": "POLK", "Value": "1", "reference_period_desc": "YEAR"}
+    whole = json.dumps({"data": [record]})
+    texts = {"a": whole, "b": whole[:-9], "c": json.dumps({"error": ["none"]}), "d": ""}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    assert sources.read_payloads(spark, str(tmp_path), on_broken="drop").count() == 1
+    with pytest.raises(Exception, match="broken response: .*b.json"):
+        sources.read_payloads(spark, str(tmp_path)).collect()
+    assert [r.file[-6:] for r in sources.broken_files(spark, str(tmp_path)).collect()] == ["b.json"]
+    rows = spark.createDataFrame(list(texts.items()), "key string, payload string")
+    assert [r.key for r in sources.broken_payloads(rows).collect()] == ["b"]
+    landed = sources.parse_payloads(rows, on_broken="drop", keep=["key"])
+    assert [(r.key, r.year) for r in landed.collect()] == [("a", "2000")]
+    with pytest.raises(SparkRuntimeException, match="broken response"):
+        sources.parse_payloads(rows).collect()
+    counts = sources.reconcile_requests(rows.select("key"), landed, ["key"], sources.broken_payloads(rows))
+    assert {r.status: r.requests for r in counts.collect()} == {"landed": 1, "broken": 1, "remaining": 2}
+
+
 def test_request_plan_and_reconciliation(spark):
     rows = [("Iowa", "Polk", dt.date(2000, 1, 1)), ("Iowa", "Linn", dt.date(2003, 1, 1)), (None, "x", dt.date(2001, 1, 1))]
     weather = spark.createDataFrame(rows, "State string, County string, Date date")
@@ -127,10 +168,13 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2000, "A"), (2001, "B")], "Year int, State string")
     path = str(tmp_path / "features")
     sources.write_features(df, path)
-    sources.write_features(df, path)
-    pruned = spark.read.parquet(path).filter("Year = 2001")
+    assert sources.write_features(df, path) == 2
+    pruned = sources.read_features(spark, path, (2001, 2005))
     assert [r.State for r in pruned.collect()] == ["B"]
     assert "PartitionFilters: [isnotnull(Year" in pruned._jdf.queryExecution().executedPlan().toString()
     records = spark.createDataFrame([("1", "2000", "IOWA", "POLK", "YEAR")], "Value string, year string, state_name string, county_name string, p string")
     sources.write_yields(records, str(tmp_path / "yields"))
+    with pytest.raises(ValueError, match="without rows"):
+        sources.write_yields(records.limit(0), str(tmp_path / "none"))
+    assert sources.write_yields(records.limit(0), str(tmp_path / "none"), mode="overwrite", on_empty="allow") == 0
     assert spark.read.parquet(str(tmp_path / "yields")).columns == ["Value", "year", "state_name", "county_name"]
