@@ -168,7 +168,8 @@ cte("modeling_flat", 'SELECT *, 80e0 AS "Flat" FROM modeling', "modeling")
     )
 )
 def corr_matrix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = _days(spark, sf_dir).withColumn("Flat", F.lit(80.0))
+    # Two readers: the means and the products.
+    days = stored_days(spark, sf_dir).withColumn("Flat", F.lit(80.0))
     return rounded(profiling.correlation_matrix(days, _CORR_COLUMNS))
 
 

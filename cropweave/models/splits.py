@@ -58,37 +58,51 @@ def seeded_split(
     taken: they are counted per partition and written out again. A key with most of the rows
     is therefore cut by the second digest, and no task holds the rows of a slot.
     """
+    names = [F.col(f"`{name}`") for name in df.columns]
     by_key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{key}`") for key in keys]))
-    by_row = F.md5(F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns])))
-    marked = df.withColumn("_code", F.concat(by_key, by_row))
-    whole = 32
-    slots = [SLOT_DIGITS, 2 * SLOT_DIGITS, whole + SLOT_DIGITS, 2 * whole]
-    rows = marked.select("_code")
-    first = rows.groupBy(F.substring("_code", 1, slots[0]).alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
-    total = first.agg(F.sum("_n"))
-    cut = _cut(first.withColumn("_take", total.select(F.col("sum(_n)") - F.ceil(F.lit(held_out) * F.col("sum(_n)"))).scalar()))
-    for before, digits in zip(slots, slots[1:], strict=False):
-        inside = rows.withColumn("_cut", cut).filter(F.substring("_code", 1, before) == F.col("_cut.slot"))
-        counted = inside.groupBy(
-            F.substring("_code", 1, digits).alias("_slot"), F.col("_cut.take").alias("_take")
+    by_row = F.md5(F.to_json(F.struct(*names)))
+    key, row = F.col("_key"), F.col("_row")
+    marked = df.withColumn("_key", by_key)
+    head, row_head = F.substring(key, 1, SLOT_DIGITS), F.substring(row, 1, SLOT_DIGITS)
+    first = marked.groupBy(head.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = first.agg(F.sum("_n").alias("rows"))
+    take = rows.select(F.col("rows") - F.ceil(F.lit(held_out) * F.col("rows"))).scalar()
+    cut = _cut(first.withColumn("_take", take))
+    # Row digests are taken of the rows in the slot alone.
+    for inside, finer in (
+        (head == F.col("_cut.slot"), F.concat(key, row_head)),
+        (F.concat(key, row_head) == F.col("_cut.slot"), F.concat(key, row)),
+    ):
+        slot = marked.withColumn("_cut", cut).filter(head == F.substring("_cut.slot", 1, SLOT_DIGITS))
+        counted = slot.withColumn("_row", by_row).filter(inside).groupBy(
+            finer.alias("_slot"), F.col("_cut.take").alias("_take")
         ).agg(F.count(F.lit(1)).alias("_n"))
         cut = _cut(counted)
     # With nothing held out there is no cut, and every row is a training row.
     placed = marked.withColumn("_cut", cut)
-    early = F.col("_cut").isNull() | (F.col("_code") < F.col("_cut.slot"))
-    sides = placed.filter(F.col("_cut").isNull() | (F.col("_code") != F.col("_cut.slot")))
-    sides = sides.withColumn(split, F.when(early, "train").otherwise("validation"))
-    names = [F.col(f"`{name}`") for name in df.columns]
-    equal = placed.filter(F.col("_code") == F.col("_cut.slot")).groupBy(
+    own = F.substring("_cut.slot", 1, 32)
+    sides = placed.filter(F.col("_cut").isNull() | (key != own)).withColumn(
+        split, F.when(F.col("_cut").isNull() | (key < own), "train").otherwise("validation")
+    )
+    # The rows of the key with the cut: before it, behind it, or equal to the row there.
+    at_key = placed.filter(key == own).withColumn("_row", by_row)
+    row_cut = F.substring("_cut.slot", 33, 32)
+    others = at_key.filter(row != row_cut).withColumn(
+        split, F.when(row < row_cut, "train").otherwise("validation")
+    )
+    equal = at_key.filter(row == row_cut).groupBy(
         *names, F.col("_cut.take").alias("_take"), F.spark_partition_id().alias("_part")
     ).agg(F.count(F.lit(1)).alias("_n"))
     # A row per partition that holds some of the equal rows.
     parts = W.partitionBy("_take").orderBy("_part").rowsBetween(W.unboundedPreceding, 0)
     before = F.sum("_n").over(parts) - F.col("_n")
-    copies = equal.withColumn("_before", before).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    copies = equal.withColumn("_before", before).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n"))
+    )
     taken = F.col("_before") + F.col("_copy") <= F.col("_take")
     ties = copies.withColumn(split, F.when(taken, "train").otherwise("validation"))
-    return sides.select(*names, split).unionByName(ties.select(*names, split))
+    both = sides.select(*names, split).unionByName(others.select(*names, split))
+    return both.unionByName(ties.select(*names, split))
 
 
 def _cut(counted: DataFrame) -> Column:
