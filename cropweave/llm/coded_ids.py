@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cropweave.llm.pretokens import Numbering, RaggedTable
 from cropweave.llm.texts import arrow_batch, byte_view, claim, ragged, sliced
+from cropweave.llm.words import FACTOR, mixed
 
 MAGIC = b"DAC1"
 #: Bits of the chunks, lowest first: together the 32 bits of an id.
@@ -34,6 +35,11 @@ RANK_BITS = 512
 #: Ids of a segment, unless one document has more.
 SEGMENT_IDS = 1 << 20
 REMEMBERED = 800_000
+#: Bytes of texts that are cut into pieces at a time.
+BLOCK_BYTES = 1 << 21
+#: ASCII white space, and what keeps the first 0 to 8 bytes of eight.
+WHITE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+EIGHT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class Level:
@@ -123,13 +129,81 @@ class Segment:
         return values
 
 
+class PieceTable:
+    """Numbers of pieces of up to 24 bytes, in a hash table that is asked for many at a time.
+
+    A piece is held whole, as three numbers of eight bytes and its length, so that a hash
+    that two pieces share can't confuse them. The table doubles when it is half full.
+    """
+
+    LONGEST = 24
+
+    def __init__(self, bits: int = 16) -> None:
+        self.lanes = np.zeros((4, 1 << bits), np.uint64)
+        self.numbers = np.full(1 << bits, -1, np.int64)
+        self.mask, self.used = np.uint64((1 << bits) - 1), 0
+
+    @staticmethod
+    def keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        padded = np.concatenate([data, np.zeros(PieceTable.LONGEST + 8, np.uint8)])
+        # Eight bytes from any place on, as one number.
+        eight = np.ndarray(len(data) + PieceTable.LONGEST, "<u8", padded, strides=(1,))
+        lanes = [eight[starts + 8 * k] & EIGHT[np.clip(lengths - 8 * k, 0, 8)] for k in range(3)]
+        keys = np.stack([*lanes, lengths.astype(np.uint64)])
+        factor = np.uint64(FACTOR)
+        return keys, mixed(((keys[0] * factor ^ keys[1]) * factor ^ keys[2]) * factor ^ keys[3])
+
+    def find(self, keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces, -1 for those not held."""
+        out, at, open_ones = np.full(len(hashes), -1, np.int64), hashes & self.mask, np.arange(len(hashes))
+        while len(open_ones):
+            slots = at[open_ones]
+            number = self.numbers[slots]
+            held = number >= 0
+            same = held.copy()
+            for lane, own in zip(self.lanes, keys, strict=True):
+                same &= lane[slots] == own[open_ones]
+            out[open_ones[same]] = number[same]
+            open_ones = open_ones[held & ~same]
+            at[open_ones] = (at[open_ones] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Hold different pieces that are not held yet."""
+        self.used += len(numbers)
+        if 2 * self.used > len(self.numbers):
+            old = self.numbers >= 0
+            lanes, kept = self.lanes[:, old], self.numbers[old]
+            factor = np.uint64(FACTOR)
+            again = mixed(((lanes[0] * factor ^ lanes[1]) * factor ^ lanes[2]) * factor ^ lanes[3])
+            size = len(self.numbers)
+            while 2 * self.used > size:
+                size *= 2
+            self.lanes, self.numbers = np.zeros((4, size), np.uint64), np.full(size, -1, np.int64)
+            self.mask = np.uint64(size - 1)
+            self._put(lanes, again, kept)
+        self._put(keys, hashes, numbers)
+
+    def _put(self, keys: np.ndarray, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        at, open_ones = hashes & self.mask, np.arange(len(hashes))
+        while len(open_ones):
+            free = open_ones[self.numbers[at[open_ones]] < 0]
+            winners = free[np.unique(at[free], return_index=True)[1]]
+            self.lanes[:, at[winners]] = keys[:, winners]
+            self.numbers[at[winners]] = numbers[winners]
+            placed = np.zeros(len(hashes), bool)
+            placed[winners] = True
+            open_ones = open_ones[~placed[open_ones]]
+            at[open_ones] = (at[open_ones] + np.uint64(1)) & self.mask
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that lower-cases and drops white space.
 
     Such a tokenizer treats the pieces between ASCII white space one by one. A piece of
     ASCII letters is looked up in lower case, without a full stop or comma behind it, which
-    is a token of its own. Only what is new goes to the library, many pieces in one call
-    with a special token between them.
+    is a token of its own. Pieces are found and equal ones brought together in arrays; only
+    what is new goes to the library, many pieces in one call with a special token between them.
     """
 
     def __init__(self, path: str) -> None:
@@ -144,7 +218,9 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.table = Numbering(), RaggedTable(np.uint32)
+        self.known, self.others = PieceTable(), {}
+        self.fresh: list[bytes] = []
+        self.count, self.table = 0, RaggedTable(np.uint32)
         self.stems, self.stem_ids = Numbering(), RaggedTable(np.uint32)
 
     def library_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,13 +262,72 @@ class WordEncoder:
         out[ragged(starts + lengths, behind)] = np.concatenate([*(self.tails[x] for x in tails if x), np.zeros(0, np.uint32)])
         self.table.append(out, lengths + behind)
 
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        numbers = [self.known.numbers(x.split()) for x in texts]
-        if fresh := self.known.take_fresh():
-            self.learn(fresh)
-        return [self.table.gather(x) for x in numbers]
+    def numbered(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of every piece; new ones are put on ``fresh``."""
+        raw, lengths = data.tobytes(), ends - starts
+        out = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(lengths <= PieceTable.LONGEST)
+        keys, hashes = PieceTable.keys(data, starts[short], lengths[short])
+        out[short] = self.known.find(keys, hashes)
+        new = np.flatnonzero(out[short] < 0)
+        if len(new):
+            _, first, which = np.unique(hashes[new], return_index=True, return_inverse=True)
+            if (keys[:, new] == keys[:, new[first]][:, which]).all():
+                numbers = self.count + np.arange(len(first))
+                self.known.add(keys[:, new[first]], hashes[new[first]], numbers)
+                out[short[new]] = numbers[which]
+                self.fresh += [raw[a:b] for a, b in zip(starts[short[new[first]]].tolist(), ends[short[new[first]]].tolist(), strict=True)]
+                self.count += len(first)
+        # Long pieces, and new ones that share a hash, are looked up one by one.
+        for k in np.flatnonzero(out < 0).tolist():
+            piece = raw[starts[k] : ends[k]]
+            number = self.others.get(piece)
+            if number is None:
+                number = self.others[piece] = self.count
+                self.fresh.append(piece)
+                self.count += 1
+            out[k] = number
+        return out
+
+    def __call__(self, data: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts that lie in ``data`` between ``places``, block by block."""
+        n = len(places) - 1
+        parts: list[np.ndarray] = []
+        counts = np.zeros(n, np.int64)
+        white = WHITE[data]
+        outer = white.copy()
+        outer[np.maximum(places[1:-1] - 1, 0)] = True
+        at = 0
+        while at < len(data):
+            # A block ends behind white space or a text, so that no piece is cut.
+            end = min(at + BLOCK_BYTES, len(data))
+            while end < len(data) and not outer[end - 1]:
+                step = outer[end : end + BLOCK_BYTES]
+                end += int(np.argmax(step)) + 1 if step.any() else len(step)
+            starts, ends = _pieces(~white[at:end], places[(places > at) & (places < end)] - at)
+            if len(starts):
+                if self.count > REMEMBERED:
+                    self.forget()
+                numbers = self.numbered(data[at:end], starts, ends)
+                if self.fresh:
+                    self.learn(self.fresh)
+                    self.fresh = []
+                row = np.searchsorted(places, starts + at, side="right") - 1
+                counts += np.bincount(row, self.table.lengths(numbers), n).astype(np.int64)
+                parts.append(self.table.gather(numbers))
+            at = end
+        ids = np.concatenate([*parts, np.zeros(0, np.uint32)])
+        return np.split(ids, np.cumsum(counts)[:-1]) if n else []
+
+
+def _pieces(inside: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end bytes of the runs of True, which also end at the borders."""
+    begin, last = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    begin[borders] = inside[borders]
+    last[borders - 1] = inside[borders - 1]
+    return np.flatnonzero(begin), np.flatnonzero(last) + 1
 
 
 @lru_cache(2)
@@ -238,9 +373,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
             return arrow_batch(out, row)
 
         for piece in sliced(batches):
-            data, places = byte_view(piece.column("text"))
-            raw = data.tobytes()
-            coded = encode([raw[a:b] for a, b in zip(places, places[1:], strict=False)])
+            coded = encode(*byte_view(piece.column("text")))
             for doc, key, ids in zip(piece.column("doc_id").to_pylist(), piece.column("key").to_pylist(), coded, strict=True):
                 if held and size + len(ids) + 1 > SEGMENT_IDS:
                     yield segment()

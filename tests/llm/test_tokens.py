@@ -134,3 +134,35 @@ def test_empty_tables(spark, documents, tmp_path):
     file = coded_ids.new_file(str(tmp_path))
     coded_ids.write_ids(none, file, P.path("word_bpe_49k.json"), 2)
     assert coded_ids.read_ids(spark, file).count() == 0
+
+
+def test_pieces_of_all_lengths_keep_their_numbers():
+    rng = np.random.default_rng(3)
+    table, held = coded_ids.PieceTable(bits=4), {}
+    for _ in range(20):
+        words = [bytes(rng.integers(0, 3, rng.integers(1, 25)).astype(np.uint8)) for _ in range(200)]
+        new = sorted(set(words) - set(held))
+        for known, group in ((True, [x for x in words if x in held]), (False, new)):
+            data = np.frombuffer(b"".join(group), np.uint8)
+            lengths = np.array([len(x) for x in group], np.int64)
+            keys, hashes = table.keys(data, np.cumsum(lengths) - lengths, lengths)
+            assert table.find(keys, hashes).tolist() == [held[x] if known else -1 for x in group]
+            if not known:
+                numbers = len(held) + np.arange(len(group))
+                table.add(keys, hashes, numbers)
+                held |= dict(zip(group, numbers.tolist(), strict=True))
+
+
+def test_words_are_not_cut_by_blocks(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    texts = ["", "Sun rain,", "x" * 90 + " corn. " + "é漢" * 20, " \t\n", "rain, sun. " * 40, "a", "", "b c"]
+    library = Tokenizer.from_file(path)
+    raw = [x.encode() for x in texts]
+    for block, remembered in ((7, 5), (1 << 21, 800_000)):
+        monkeypatch.setattr(coded_ids, "BLOCK_BYTES", block)
+        monkeypatch.setattr(coded_ids, "REMEMBERED", remembered)
+        own = coded_ids.WordEncoder(path)
+        got = own(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [x.tolist() for x in got] == [library.encode(x, add_special_tokens=False).ids for x in texts]
