@@ -115,17 +115,20 @@ _STATE_FILL = ", ".join(
 )
 
 
-@register(
-    with_ctes(
-        f"""
-SELECT "State", "Year", {r(*MONTH_FEATURES)} FROM (
-  SELECT c."State", c."Year", {_STATE_FILL}
-  FROM state_matrix c
-  LEFT JOIN (SELECT "State", {averages(MONTH_FEATURES)} FROM state_matrix
-             WHERE "Year" < {TARGET_YEAR} GROUP BY 1) h ON h."State" = c."State")
+cte(
+    "state_filled",
+    f"""
+SELECT c."State", c."Year", {_STATE_FILL}
+FROM state_matrix c
+LEFT JOIN (SELECT "State", {averages(MONTH_FEATURES)} FROM state_matrix
+           WHERE "Year" < {TARGET_YEAR} GROUP BY 1) h ON h."State" = c."State"
 """,
-        "state_matrix",
-    )
+    "state_matrix",
+)
+
+
+@register(
+    with_ctes(f'SELECT "State", "Year", {r(*MONTH_FEATURES)} FROM state_filled', "state_filled")
 )
 def history_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = state_months.state_month_matrix(panel(spark, sf_dir))
@@ -145,20 +148,24 @@ SELECT m."State", m."Year", CAST(m."Year" - 2000 AS INTEGER) AS "Trend",
   "precip_7" * "precip_7" AS "JulyPrecipSq",
   CASE WHEN "precip_6" < 2.51e0 THEN 4.33e0 - "precip_6" ELSE 0e0 END AS "JunePrecipShortfall",
   80e0 AS "PlantingProgress", y."Yield_bu_acre"
-FROM state_matrix m
+FROM state_filled m
 JOIN state_yields y ON y."State" = m."State" AND y."Year" = m."Year"
 """,
-    "state_matrix",
+    "state_filled",
     "state_yields",
 )
 
 
 def weather_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inputs of the trend and weather regression, labels taken from the daily table."""
+    """Inputs of the trend and weather regression, labels taken from the daily table.
+
+    The last year's gaps are filled from history before the features are made of it.
+    """
     weather = stored_panel(spark, sf_dir)
     days = modeling_days(weather, state_yields(spark, sf_dir))
-    matrix = attach_distinct_yields(state_months.state_month_matrix(weather), days)
-    return trend_weather_features(matrix)
+    matrix = materialize(state_months.state_month_matrix(weather), "matrix")
+    filled = fill_from_history(matrix, TARGET_YEAR, MONTH_FEATURES)
+    return trend_weather_features(attach_distinct_yields(filled, days))
 
 
 @register(
