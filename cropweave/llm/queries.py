@@ -121,6 +121,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
     return decontamination.contamination(docs, items, shared_folder(spark), window=10)
 
+ORACLES["op10_decontamination"] = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), phrases AS MATERIALIZED (
+    SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, LEAST(LEN(w), 10) AS n, unnest(range(1, GREATEST(LEN(w) - 10, 0) + 2)) AS i FROM items WHERE LEN(w) > 0)
+), places AS (
+    SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS phrase
+    FROM (SELECT r, w, n, unnest(range(1, LEN(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM phrases) WHERE LEN(w) >= n)
+), found AS MATERIALIZED (
+    SELECT r, n, i, item_id FROM places JOIN phrases USING (n, phrase)
+), hits AS (
+    SELECT r, COUNT(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM found) GROUP BY r
+), named AS (
+    SELECT r, COUNT(*) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       COALESCE(items_sha256, sha256('')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
 
 @register
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,17 @@ def test_empty_sides(spark, documents, shared):
     none = spark.createDataFrame([], "item_id long, text string")
     assert dc.contamination(documents([(1, "a b")]), none, shared).collect()[0]["n_hit"] == 0
     assert dc.contamination(documents([]), spark.createDataFrame([(1, "a")], "item_id long, text string"), shared).count() == 0
+
+
+def test_the_query_equals_its_sql(spark):
+    import duckdb
+
+    from cropweave.llm.queries import ORACLES, QUERIES
+
+    frame = QUERIES["op10_decontamination"](spark, "/root/testdata/sf0.001")
+    base = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        base.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
+    result = base.execute(ORACLES["op10_decontamination"])
+    names = [x[0] for x in result.description]
+    assert sorted(map(tuple, frame.select(*names).collect())) == sorted(result.fetchall()) and set(names) == set(frame.columns)
