@@ -3,11 +3,13 @@
 All distinct pre-tokens of a slice lie in one flat array of symbols. A round looks up the
 rank of every neighbouring pair, takes the lowest rank of each sequence and merges all of
 its occurrences in all sequences at once. Sequences without a known pair leave; what is
-left of a sequence is its number of tokens.
+left of a sequence is its number of tokens. A sequence that needs very many rounds goes on
+over linked places kept by rank, where a round touches the places of its rank alone.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -22,6 +24,8 @@ from cropweave.llm.texts import arrow_batch, byte_view, claim, kept_columns, sli
 
 #: Distinct pre-tokens a worker remembers before it starts anew; a memory bound only.
 REMEMBERED = 400_000
+#: Rounds over all places before the sequences that are left go on by linked places.
+ROUNDS = 64
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -53,6 +57,49 @@ class MergeTable:
         made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
+        self.of_rank = np.argsort(self.ranks)
+
+    def linked(self, symbols: np.ndarray) -> np.ndarray:
+        """One sequence after all merges, rank by rank from the lowest, each at all its places."""
+        n = len(symbols)
+        symbols = symbols.copy()
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def add(places: np.ndarray) -> None:
+            keys = symbols[places] * self.width + symbols[after[places]]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            rank, places = self.ranks[at[known]], places[known]
+            order = np.argsort(rank, kind="stable")
+            rank, places = rank[order], places[order]
+            begin = np.flatnonzero(np.append(True, rank[1:] != rank[:-1])[: len(rank)])
+            for r, some in zip(rank[begin].tolist(), np.split(places, begin[1:]), strict=False):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(some)
+
+        add(np.arange(n - 1))
+        while ranks:
+            rank = heapq.heappop(ranks)
+            here = np.unique(np.concatenate(waiting.pop(rank)))
+            here = here[(symbols[here] >= 0) & (after[here] < n)]
+            pair = self.of_rank[rank]
+            here = here[symbols[here] * self.width + symbols[after[here]] == self.keys[pair]]
+            if not len(here):
+                continue
+            # In a run like "aaa" the pairs overlap: from the left, every second one is merged.
+            count = np.arange(len(here))
+            begin = np.maximum.accumulate(np.where(np.append(True, after[here[:-1]] != here[1:]), count, 0))
+            here = here[(count - begin) % 2 == 0]
+            gone = after[here]
+            symbols[here], symbols[gone] = self.made[pair], -1
+            after[here] = follows = after[gone]
+            before[follows[follows < n]] = here[follows < n]
+            add(np.unique(np.concatenate([here[follows < n], before[here][before[here] >= 0]])))
+        return symbols[symbols >= 0]
 
     def merged(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All sequences after all merges: their symbols and their lengths."""
@@ -61,7 +108,15 @@ class MergeTable:
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         owner = np.repeat(np.arange(n), lengths)
         symbols = np.asarray(symbols, np.int64)
+        rounds = 0
         while len(symbols):
+            if rounds == ROUNDS:
+                begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+                for who, piece in zip(owner[begin], np.split(symbols, begin[1:]), strict=True):
+                    piece = self.linked(piece)
+                    done.append((np.full(len(piece), who), piece, np.array([len(piece)])))
+                break
+            rounds += 1
             inner = owner[:-1] == owner[1:]
             keys = symbols[:-1] * self.width + symbols[1:]
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -48,6 +49,25 @@ def test_counts_of_real_and_random_texts(sample):
     assert count(texts).tolist() == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_long_words_by_linked_places(monkeypatch):
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(9)
+    letters = lambda some, n: "".join(rng.choice(some) for _ in range(n))
+    texts = [letters("abcdefghijklmnopqrstuvwxyz", 5000), letters("aab", 3000), "a" * 4001, letters("漢字文書", 2000), letters("etaoin", 700), "", "x"]
+    want = [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+    for rounds in (0, 3, 64, 10_000):
+        monkeypatch.setattr(token_counts, "ROUNDS", rounds)
+        assert token_counts.Counter(P.path("byte_bpe_50k.json"), P.PATTERN)(texts).tolist() == want, rounds
+
+
+def test_a_word_of_a_million_letters_ends_soon():
+    rng = np.random.default_rng(2)
+    count = token_counts.Counter(P.path("byte_bpe_50k.json"), P.PATTERN)
+    began = time.process_time()
+    assert 300_000 < count([rng.integers(97, 123, 1_000_000).astype(np.uint8).tobytes().decode()])[0] < 1_000_000
+    assert time.process_time() - began < 60
+
+
 def test_pieces_of_every_character_class():
     """The splitting pattern sees every character as the library does."""
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
