@@ -1,8 +1,8 @@
 """Toxicity scores of restored text: a noisy channel over characters, then a lexicon model.
 
 A token that looks disguised (leet signs among letters, separators between letters, letters
-repeated three times or more, single letters one after another) is a lattice of intended
-letters. Viterbi decoding picks the reading that is likeliest under a character trigram
+repeated three times or more) is a lattice of intended letters, and so is a run of single
+letters, whose gaps may be borders of words or nothing. Viterbi decoding picks the reading that is likeliest under a character trigram
 model of the whole corpus and the costs of the channel. Words and word beginnings of the
 restored text carry evidence learned from labelled rows, and a logistic regression turns
 the evidence of a document into a score.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gc
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -44,13 +45,20 @@ LEET = {
 READ, LEFT_OUT, KEPT, REPEATED = 1.0, 1.5, 3.0, 0.7
 #: A sign that may stand for a letter is seldom left out or kept.
 SELDOM = 9.0
+#: Readings of a gap between single letters: one as wide as the narrowest of its run, or a wider one.
+GAPS = {" ": [("", 0.0), (" ", 0.5)], "\t": [("", 3.0), (" ", 0.0)]}
+#: Signs after which what all paths agree on is put aside; a memory bound only.
+SETTLED = 256
+#: Readings of a run of single letters that are looked up, as three characters say little of borders.
+BEST = 8
 KINDS = 64
 
 _LETTER = "a-zà-öø-ÿœ"
 #: Letters with a sign or digit beside them, or a letter three times.
 DISGUISED = re.compile(rf"[{_LETTER}][^{_LETTER}\s]+[{_LETTER}]|[0-9@$!|+(€£][{_LETTER}]|[{_LETTER}][0-9@$€£|]|([{_LETTER}])\1\1")
 EDGES = re.compile(rf"^[^0-9@$!|+(€£{_LETTER}]+|[^0-9@$€£|{_LETTER}]+$")
-SPACED = re.compile(rf"(?<!\S)(?:[{_LETTER}0-9@$!|][\s.\-_*]+){{3,}}[{_LETTER}0-9@$!|](?!\S)")
+SPACED = re.compile(rf"(?<![^\s\"'(\[])(?:[{_LETTER}0-9@$!|][\s.\-_*]+){{3,}}[{_LETTER}0-9@$!|](?=[,.;:!?\"')\]]*(?!\S))")
+GAP = re.compile(r"[\s.\-_*]+")
 WORD = re.compile(rf"[{_LETTER}]+")
 
 
@@ -107,6 +115,8 @@ class Decoder:
 
     def options(self, sign: str, last: str) -> list[tuple[str, float]]:
         """Intended letters of an observed sign and their costs; '' leaves it out."""
+        if sign in GAPS:
+            return GAPS[sign]
         if sign.isalpha() and sign not in LEET:
             return [(sign, 0.0), ("", REPEATED)] if sign == last else [(sign, 0.0)]
         out = [(x, READ) for x in LEET.get(sign, "")]
@@ -117,7 +127,8 @@ class Decoder:
     def restore(self, token: str) -> str:
         """The likeliest intended letters; a blank where a sign is kept as a border."""
         paths = {(0, 0, ""): (0.0, "")}
-        for sign in token:
+        settled: list[str] = []
+        for n, sign in enumerate(token, 1):
             after: dict[tuple[int, int, str], tuple[float, str]] = {}
             for (a, b, last), (cost, text) in paths.items():
                 for letter, extra in self.options(sign, last):
@@ -129,7 +140,28 @@ class Decoder:
                     if key not in after or total < after[key][0]:
                         after[key] = total, new
             paths = after
-        return min((cost + self.costs[a][b][0], text) for (a, b, _), (cost, text) in paths.items())[1]
+            if n % SETTLED == 0:
+                settled.append(os.path.commonprefix([x for _, x in paths.values()]))
+                paths = {k: (cost, x[len(settled[-1]) :]) for k, (cost, x) in paths.items()}
+        return "".join(settled) + min((cost + self.costs[a][b][0], text) for (a, b, _), (cost, text) in paths.items())[1]
+
+    def readings(self, run: str, best: int = BEST) -> list[str]:
+        """The likeliest readings of a run of single letters, ``best`` of them where all differ."""
+        paths = {(0, 0, ""): [(0.0, "")]}
+        settled: list[str] = []
+        for n, sign in enumerate(run, 1):
+            after: dict[tuple[int, int, str], list[tuple[float, str]]] = {}
+            for (a, b, last), some in paths.items():
+                for letter, extra in self.options(sign, last):
+                    c = self.kind(letter) if letter else 0
+                    key, more = ((b, c, letter if c else ""), extra + self.costs[a][b][c]) if letter else ((a, b, last), extra)
+                    after.setdefault(key, []).extend((cost + more, text + letter) for cost, text in some)
+            paths = {k: sorted(x)[:best] for k, x in after.items()}
+            if n % SETTLED == 0:
+                settled.append(os.path.commonprefix([x for some in paths.values() for _, x in some]))
+                paths = {k: [(cost, x[len(settled[-1]) :]) for cost, x in some] for k, some in paths.items()}
+        ends = sorted((cost + self.costs[a][b][0], x) for (a, b, _), some in paths.items() for cost, x in some)
+        return ["".join(settled) + x for x in dict.fromkeys(x for _, x in ends[:best])]
 
 
 @dataclass
@@ -163,14 +195,19 @@ class Reader(dict):
         return out
 
     def tokens(self, text: str) -> list[str]:
-        """White-space tokens in lower case, and the runs of single letters put together."""
+        """White-space tokens in lower case, and the runs of single letters, a sign of GAPS for each gap."""
         lower = text.lower()
-        return lower.split() + ["".join(m[0].split()) + "\x00" for m in SPACED.finditer(lower)]
+        out = lower.split()
+        for m in SPACED.finditer(lower):
+            narrow = min(len(x) for x in GAP.findall(m[0]))
+            out.append(GAP.sub(lambda x, narrow=narrow: " " if len(x[0]) == narrow else "\t", m[0]) + "\x00")
+        return out
 
     def spaced(self, token: str) -> tuple[str, ...]:
-        """Words of letters that stood apart: as read together, and decoded."""
-        joined = re.sub(r"[.\-_*]", "", token[:-1])
-        return joined, self.decoder.restore(joined)
+        """Words of letters that stood apart: as read together, decoded, and with borders at gaps."""
+        joined = GAP.sub("", token[:-1])
+        found = [joined, self.decoder.restore(joined), *(w for x in self.decoder.readings(token[:-1]) for w in WORD.findall(x))]
+        return tuple(dict.fromkeys(found))
 
 
 class Evidence(dict):

@@ -48,6 +48,35 @@ def test_disguised_words_are_restored(model, word):
     assert sum(x >= plain - 1e-9 for x in found) >= 5, found
 
 
+@pytest.mark.parametrize("text", [
+    "he is a m o r o n of them", "well y o u i d i o t then", "u r a m o r o n", "so m o r o n, really", "(i d i o t)",
+    "s t u p i d  i d i o t", "a  m o r o n  a n d", "m.o.r.o.n!", "m. o. r. o. n",
+])
+def test_borders_between_spaced_words(model, text):
+    own = tx.Evidence(model)
+    word = next(x for x in ("moron", "idiot") if x in text.replace(" ", "").replace(".", ""))
+    assert own.of(text)[0] >= own.of(f"the {word} there")[0] - 1e-9 > 2
+
+
+def test_clean_spaced_letters_have_no_evidence(model):
+    own = tx.Evidence(model)
+    for text in ("see a b c d e f there", "t h e h o u s e", "n e w s  f o r  t o d a y", "1 2 3 4 5 6"):
+        assert own.of(text)[0] < 2.5, text
+
+
+def test_settled_parts_change_nothing(monkeypatch):
+    rng = np.random.default_rng(6)
+    decoder = tx.Decoder(rng.random((tx.KINDS,) * 3) * 5)
+    choose = random.Random(5)
+    for _ in range(20):
+        signs = "".join(choose.choice("abc1$0 \ta ") for _ in range(300))
+        monkeypatch.setattr(tx, "SETTLED", 10_000)
+        whole = decoder.restore(signs)
+        monkeypatch.setattr(tx, "SETTLED", 7)
+        assert decoder.restore(signs) == whole
+        assert decoder.readings(signs, 1) == [whole] and decoder.readings(signs)[0] == whole
+
+
 def test_decoding_takes_the_cheapest_reading():
     rng = np.random.default_rng(4)
     decoder = tx.Decoder(rng.random((tx.KINDS,) * 3))
@@ -67,7 +96,7 @@ def test_decoding_takes_the_cheapest_reading():
         return total + decoder.costs[a][b][0], text
 
     for _ in range(40):
-        token = "".join(choose.choice("ab1$0..aa") for _ in range(5))
+        token = "".join(choose.choice("ab1$0..aa \t") for _ in range(5))
         every = [{o for last in ("", *"abcdefghijklmnopqrstuvwxyz") for o in decoder.options(s, last)} for s in token]
         readings = [cost_of(zip(token, steps, strict=True)) for steps in itertools.product(*every)]
         assert decoder.restore(token) == min(x for x in readings if x)[1]
