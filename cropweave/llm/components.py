@@ -8,13 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def new_path(folder: str, label: str) -> str:
+    """A path in the folder that no other table has."""
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, folder: str, label: str) -> DataFrame:
     """``df`` written to a new table in the shared folder and read from there."""
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = new_path(folder, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def emptied(table: DataFrame, path: str) -> None:
+    """Overwrite a table that nothing reads any more with no rows, which frees its files."""
+    table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+
+
 def _state(edges: DataFrame) -> tuple:
     """Number and hash sum of the edges: equal when a round has changed nothing."""
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
