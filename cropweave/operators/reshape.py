@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from cropweave import schemas
@@ -122,6 +123,29 @@ def gather_periods(
     )
 
 
+def spread_arrays(
+    df: DataFrame, index: Sequence[str], size: int, measures: Sequence[str], prefix: str = ""
+) -> DataFrame:
+    """Arrays of ``gather_periods`` to ``<measure>_<place>`` columns, places counted from 1.
+
+    A row without any value is dropped; a value behind the last place is an error.
+    """
+    filled = [F.exists(name, lambda x: x.isNotNull()) for name in measures]
+    behind = [F.exists(F.slice(name, size + 1, 2**30), lambda x: x.isNotNull()) for name in measures]
+    unlisted = F.raise_error(F.concat(F.lit("not a listed column: "), F.lit(size + 1).cast("string")))
+    kept = F.when(reduce(Column.__or__, behind), unlisted.cast("boolean")).otherwise(
+        reduce(Column.__or__, filled)
+    )
+    return df.where(kept).select(
+        *index,
+        *[
+            F.get(name, F.lit(place - 1)).alias(f"{name}_{prefix}{place}")
+            for name in measures
+            for place in range(1, size + 1)
+        ],
+    )
+
+
 def feature_columns(
     df: DataFrame, heads: Sequence[str] = schemas.MONTHLY_MEASURES
 ) -> list[str]:

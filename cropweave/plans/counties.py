@@ -17,7 +17,12 @@ from cropweave.functions import (
 from cropweave.operators.grain import monthly_county_means, weekly_county_means
 from cropweave.operators.joins import attach_yields
 from cropweave.operators.repair import fill_from_history
-from cropweave.operators.reshape import feature_columns, gather_periods, spread_periods
+from cropweave.operators.reshape import (
+    feature_columns,
+    gather_periods,
+    spread_arrays,
+    spread_periods,
+)
 from cropweave.operators.rolling import trailing_sums
 from cropweave.operators.seasons import (
     aligned_season_weeks,
@@ -69,6 +74,13 @@ def county_weeks(
     ``years`` rows from a year before the first season on are summed; where the panel is
     extended, that needs all years for its averages.
     """
+    return renumber_weeks(_season_weeks(weather, extend, years), ("Year", "State", "County"))
+
+
+def _season_weeks(
+    weather: DataFrame, extend: bool = True, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """``county_weeks`` before its weeks are numbered from 1."""
     panel = extend_to_year_end(weather) if extend else weather
     panel = season_window(panel, years) if years else panel
     rolled = trailing_sums(panel, windows={"RP7": 7, "RP30": 30})
@@ -76,8 +88,7 @@ def county_weeks(
         {"GDD": growing_degree_days(), "RP7S": squared("RP7"), "SWVLA": soil_moisture()}
     )
     season = growing_season(derived, years=years).dropna(subset=["State", "County"])
-    weekly = weekly_county_means(aligned_season_weeks(season), WEEKLY_MEASURES)
-    return renumber_weeks(weekly, ("Year", "State", "County"))
+    return weekly_county_means(aligned_season_weeks(season), WEEKLY_MEASURES)
 
 
 def county_week_matrix(
@@ -89,15 +100,15 @@ def county_week_matrix(
     """One row per county-year: weekly arrays, or columns ``<measure>_W<n>``.
 
     The wide form has up to 310 columns; the array form holds the same values and
-    stays compiled.
+    stays compiled. The place of a week in the sorted arrays is its number, so weeks are
+    neither ranked nor pivoted, and a task holds their rows once.
     """
-    weeks = county_weeks(weather, extend, years)
+    weeks = _season_weeks(weather, extend, years)
+    arrays = gather_periods(weeks, COUNTY_YEAR, "Week", WEEKLY_MEASURES)
+    arrays = arrays.withColumn("periods", F.transform("periods", lambda _, k: k + 1))
     if not wide:
-        return gather_periods(weeks, COUNTY_YEAR, "Week", WEEKLY_MEASURES)
-    numbers = range(1, schemas.SEASON_WEEKS + 1)
-    return spread_periods(
-        weeks, COUNTY_YEAR, "Week", numbers, WEEKLY_MEASURES, prefix="W", drop_empty=True
-    )
+        return arrays
+    return spread_arrays(arrays, COUNTY_YEAR, schemas.SEASON_WEEKS, WEEKLY_MEASURES, prefix="W")
 
 
 def county_dataset(matrix: DataFrame, yields: DataFrame) -> DataFrame:

@@ -286,3 +286,11 @@ def test_climatology_and_history_skip_missing(spark):
     assert [(r.Month, r.Day, r.tmax) for r in out] == [(5, 1, 1.0)]
     ends = grain.extrema(spark.createDataFrame(rows, PANEL)).first()
     assert (ends.min_year, ends.max_date) == (1999, day("2000-05-01"))
+
+
+def test_arrays_spread_to_columns(spark):
+    df = spark.createDataFrame([("a", [1, 2], [1.0, None]), ("b", [1], [None])], "k string, periods array<int>, x array<double>")
+    assert [tuple(r) for r in reshape.spread_arrays(df, ["k"], 2, ["x"], prefix="W").collect()] == [("a", 1.0, None)]
+    assert reshape.spread_arrays(df, ["k"], 1, ["x"]).columns == ["k", "x_1"]
+    with pytest.raises(Exception, match="not a listed column"):
+        reshape.spread_arrays(spark.createDataFrame([("a", [1.0, 2.0])], "k string, x array<double>"), ["k"], 1, ["x"]).collect()

@@ -152,3 +152,16 @@ def test_years_reach_the_reader_and_change_nothing(spark, weather, yields, tmp_p
     one = sequences.sequence_samples(read_features(spark, str(tmp_path / "days"), years), years=years)
     assert "PartitionFilters: [isnotnull(Year" in pushed(one) and "PushedFilters: [" in pushed(one)
     assert sorted(one.select("Year", "State").collect()) == [(2000, "A"), (2000, "B")]
+
+
+def test_weekly_matrix_is_built_by_place_without_ranks_or_pivots(weather):
+    """Weeks are numbered by their place in the arrays, which one grouping makes for both forms."""
+    for wide in (False, True):
+        matrix = counties.county_week_matrix(weather, wide=wide)
+        plan = matrix._jdf.queryExecution().optimizedPlan().toString()
+        assert "pivotfirst" not in plan.lower() and "row_number" not in plan
+    rows = counties.county_weeks(weather).collect()
+    wide = {(r.State, r.County, r.Year): r for r in matrix.collect()}
+    assert rows and len(wide) == len({(r.State, r.County, r.Year) for r in rows})
+    for r in rows:
+        assert wide[r.State, r.County, r.Year][f"tmax_W{r.Week}"] == r.tmax
