@@ -6,7 +6,7 @@ open leaves by feature and bin come from one Spark job, in which each task adds
 and each (leaf, feature) picks its best split where its sums meet; only these picks reach the
 driver. As the split of a leaf doesn't depend on the other leaves, a job looks ahead: it asks
 for the children of all leaves that may still be split, so that a tree takes about as many
-jobs as it is deep.
+jobs as it is deep. Children of too few rows to be split are not asked for.
 """
 
 from __future__ import annotations
@@ -176,7 +176,7 @@ _SPLIT = "leaf int, feature int, gain double, bin int, missing_left boolean, lef
 
 
 def _splits(
-    rows: DataFrame, pending: Sequence[Tree], tree: Tree, wanted: Sequence[int], features: Sequence[int], width: int, least_rows: int
+    rows: DataFrame, pending: Sequence[Tree], tree: Tree, wanted: Sequence[int], features: Sequence[int], width: int, least_rows: int, one_task: bool
 ) -> dict[int, Split]:
     """The best split of every wanted leaf of a growing tree, if it has one."""
 
@@ -203,20 +203,30 @@ def _splits(
                 names=["leaf", "feature", "totals", "counts"],
             )
 
-    def picked(key: tuple, table: pa.Table) -> pa.Table:
-        totals = np.sum([np.frombuffer(x) for x in table.column("totals").to_pylist()], axis=0)
-        counts = np.sum([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()], axis=0)
-        leaf, feature = (x.as_py() for x in key)
-        own = best_split(totals, counts, feature, least_rows)
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # At most a row of sums for each wanted leaf and feature is held.
+        held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for leaf, feature, *own in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                new = np.frombuffer(own[0]), np.frombuffer(own[1], np.int64)
+                before = held.get((leaf, feature))
+                held[leaf, feature] = (before[0] + new[0], before[1] + new[1]) if before else new
+        best: dict[int, Split] = {}
+        for leaf, feature in sorted(held):
+            own = best_split(*held[leaf, feature], feature, least_rows)
+            if own and (leaf not in best or own.gain > best[leaf].gain):
+                best[leaf] = own
         names = [x.split(" ")[0] for x in _SPLIT.split(", ")]
-        found = [{"leaf": leaf, **vars(own)}] if own else []
+        found = [{"leaf": leaf, **vars(own)} for leaf, own in best.items()]
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
-        return pa.table({n: pa.array([x[n] for x in found], kind) for n, kind in zip(names, kinds, strict=True)})
+        yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], kind) for n, kind in zip(names, kinds, strict=True)], names=names)
 
     parts = rows.mapInArrow(sums, "leaf int, feature int, totals binary, counts binary")
+    # The sums of one task are whole as they are; those of several meet by leaf and feature.
+    parts = parts if one_task else parts.repartition("leaf", "feature")
     best: dict[int, Split] = {}
-    # A row per wanted leaf and feature.
-    for row in parts.groupBy("leaf", "feature").applyInArrow(picked, _SPLIT).collect():
+    # At most a row per wanted leaf and feature.
+    for row in parts.mapInArrow(picked, _SPLIT).collect():
         own = Split(row.gain, row.feature, *row[3:])
         if row.leaf not in best or (-own.gain, own.feature) < (-best[row.leaf].gain, best[row.leaf].feature):
             best[row.leaf] = own
@@ -231,15 +241,20 @@ def grown(
     leaves: int,
     rate: float,
     least_rows: int,
+    one_task: bool = False,
 ) -> Tree | None:
-    """One best-first tree over the residuals, or None if nothing can be split."""
+    """One best-first tree over the residuals, or None if nothing can be split.
+
+    ``one_task`` states that ``rows`` are a single partition, whose sums need no shuffle.
+    """
     ahead = Tree()  # every split asked for so far, whether it is taken or not
     ahead.add(0.0)
     known: dict[int, Split | None] = {}
     open_leaves = [0]
-    while open_leaves:
-        found = _splits(rows, pending, ahead, open_leaves, features, len(edges), least_rows)
-        known |= {x: found.get(x) for x in open_leaves}
+    while True:
+        if open_leaves:
+            found = _splits(rows, pending, ahead, open_leaves, features, len(edges), least_rows, one_task)
+            known |= {x: found.get(x) for x in open_leaves}
         taken, waiting = _taken(ahead, known, leaves)
         if not waiting:
             break
@@ -249,7 +264,12 @@ def grown(
             split = known[node]
             edge = edges[split.feature]
             cut = edge[split.bin] if split.bin < len(edge) else np.inf
-            open_leaves += ahead.split(node, split, float(cut), rate)
+            for child, n in zip(ahead.split(node, split, float(cut), rate), (split.left_rows, split.right_rows), strict=True):
+                # Too few rows for two leaves: no job is needed to know that there is no split.
+                if n < 2 * least_rows:
+                    known[child] = None
+                else:
+                    open_leaves.append(child)
     if not taken:
         return None
     tree = Tree()
@@ -322,17 +342,19 @@ class LeafwiseBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol)
         # Every round reads the stored rows several times: files of the size Spark aims at.
         even = rows.hint("rebalance")
         state, trees, pending = materialize(_binned(even, edges, base), "binned"), [], []
+        one_task = state.rdd.getNumPartitions() == 1
         draw = np.random.default_rng(self.seed)
         n_features = max(1, round(self.feature_share * width))
         for _ in range(self.rounds):
             seen = sorted(draw.choice(width, n_features, replace=False).tolist())
-            tree = grown(state, pending, edges, seen, self.leaves, self.rate, self.least_rows)
+            tree = grown(state, pending, edges, seen, self.leaves, self.rate, self.least_rows, one_task)
             if tree is None:
                 break
             trees.append(tree)
             pending.append(tree)
             if len(pending) == STORED_EVERY:
                 state, pending = materialize(_with_residuals(state, pending, width), "residuals"), []
+                one_task = state.rdd.getNumPartitions() == 1
         return self._copyValues(BoostedTrees(base, width, trees))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cropweave.models import regression
+from cropweave.models import boosting, regression
 from cropweave.models.boosting import LeafwiseBoosting
 
 RNG = np.random.default_rng(17)
@@ -82,3 +82,21 @@ def test_nothing_to_split(spark):
     assert fitted.model.trees == [] and fitted.predict(df.withColumn("z", F.lit(1.0))).first().prediction == 14.5
     with pytest.raises(ValueError, match="no training rows"):
         regression.fit(LeafwiseBoosting(), df.limit(0), names)
+
+
+def test_small_children_take_no_job(spark, monkeypatch):
+    df, names = frame(spark, np.arange(30.0).reshape(30, 1), np.where(np.arange(30) < 15, 0.0, 5.0) + 0.1 * np.arange(30))
+    plain, asked = boosting._splits, []
+    monkeypatch.setattr(boosting, "_splits", lambda rows, pending, tree, wanted, *rest: asked.append(list(wanted)) or plain(rows, pending, tree, wanted, *rest))
+    model = regression.fit(LeafwiseBoosting(rounds=1, leaves=9, feature_share=1.0, least_rows=10), df, names).model
+    assert model.trees[0].feature[0] == 0 and model.trees[0].threshold[0] == 14.5 and sum(f < 0 for f in model.trees[0].feature) == 2
+    assert asked == [[0]]
+
+
+def test_sums_of_one_task_and_of_several(spark):
+    x, y = RNG.integers(0, 40, (200, 3)).astype(float), RNG.integers(-8, 8, 200).astype(float)
+    df = spark.createDataFrame([(a.tolist(), b) for a, b in zip(x, y.tolist(), strict=True)], "x array<double>, y double")
+    edges = boosting.bin_edges(df, F.col("x"), 3)
+    rows = boosting._binned(df, edges, 0.0)
+    one, several = (boosting.grown(r, [], edges, [0, 1, 2], 7, 1.0, 8, k) for r, k in ((rows.coalesce(1), True), (rows.repartition(4), False)))
+    assert one == several and sum(f < 0 for f in one.feature) == 7
