@@ -10,8 +10,10 @@ made when they are first met and looked up afterwards.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -174,8 +176,11 @@ class StreamDecoder:
         self.held, self.todo, self.low, self.high = bytearray(), 0, 0x80, 0xBF
 
     def feed(self, ids: Iterable[int]) -> str:
+        return self.feed_bytes(b"".join(self.bytes_of[x] for x in ids))
+
+    def feed_bytes(self, data: bytes) -> str:
         out = []
-        for byte in b"".join(self.bytes_of[x] for x in ids):
+        for byte in data:
             if self.todo and not self.low <= byte <= self.high:
                 out.append("�")
                 self.held.clear()
@@ -201,6 +206,18 @@ class StreamDecoder:
         return rest
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Inside, Python doesn't look for cycles: new states hold none, and looking walks through all of them."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class Codec:
     """Encodes texts through the transducer and decodes their ids; remembers pre-tokens it has met."""
 
@@ -215,13 +232,30 @@ class Codec:
 
     def forget(self) -> None:
         self.known, self.ids = Numbering(), RaggedTable(np.int32)
+        #: By the bytes held and a token: the bytes held after it, None if a character was replaced.
+        self.fed: dict[tuple[bytes, int], bytes | None] = {}
+
+    def after(self, held: bytes, token: int) -> bytes | None:
+        """Where the streaming decoder is once it has read the token; each such step is taken once."""
+        try:
+            return self.fed[held, token]
+        except KeyError:
+            pass
+        if len(self.fed) > PAIRS:
+            self.fed.clear()
+        machine = StreamDecoder(self.transducer.bytes_of)
+        machine.feed_bytes(held)
+        replaced = "\ufffd" in machine.feed([token])
+        after = self.fed[held, token] = None if replaced else bytes(machine.held)
+        return after
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.forget()
         numbers = [self.known.numbers(self.split(x)) for x in texts]
         if fresh := self.known.take_fresh():
-            coded = [self.transducer.encode(x.encode()) for x in fresh]
+            with uncollected():
+                coded = [self.transducer.encode(x.encode()) for x in fresh]
             lengths = np.array([len(x) for x in coded], np.int64)
             self.ids.append(np.fromiter((i for x in coded for i in x), np.int32, int(lengths.sum())), lengths)
         return [self.ids.gather(x) for x in numbers]
@@ -349,12 +383,11 @@ def valid(own: Codec, whole: np.ndarray, ids: np.ndarray) -> bool:
     broken = np.flatnonzero(~whole[ids])
     if not len(broken):
         return True
-    machine = StreamDecoder(own.transducer.bytes_of)
-    before = -1
-    for at in broken.tolist():
-        if machine.held and at != before + 1:
+    held, before = b"", -1
+    for at, token in zip(broken.tolist(), ids[broken].tolist(), strict=True):
+        if held and at != before + 1:
             return False
-        if "�" in machine.feed([int(ids[at])]):
+        if (held := own.after(held, token)) is None:
             return False
         before = at
-    return not machine.held
+    return not held

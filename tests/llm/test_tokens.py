@@ -1,5 +1,6 @@
 """Token counts, ids on disk and byte-level BPE beside the libraries they must equal."""
 
+import gc
 import hashlib
 import random
 import time
@@ -186,3 +187,27 @@ def test_words_are_not_cut_by_blocks(monkeypatch):
         own = coded_ids.WordEncoder(path)
         got = own(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
         assert [x.tolist() for x in got] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_steps_of_the_decoder_are_taken_once(monkeypatch, sample):
+    path = P.path("byte_bpe_50k.tiktoken")
+    own, whole = byte_bpe.Codec(path, P.PATTERN), byte_bpe.whole_tokens(path, P.PATTERN)
+    texts = ["é漢😀" * 50 + "ọ̀𝔘𐍈", *sample["text"][:20]]
+    coded = own.encode(texts)
+    assert all(byte_bpe.valid(own, whole, x) for x in coded)
+    single = [own.transducer.ranks[bytes([x])] for x in "漢".encode()]
+    monkeypatch.setattr(byte_bpe.StreamDecoder, "feed_bytes", None)
+    # What has been read before runs no machine again.
+    assert all(byte_bpe.valid(own, whole, x) for x in coded)
+    monkeypatch.undo()
+    a = own.transducer.ranks[b"a"]
+    for ids, good in ((single, True), (single[:2], False), ([single[0], a, *single[1:]], False), (single[1:], False), ([a, *single, *single], True), ([*single[:2], *single], False)):
+        assert byte_bpe.valid(own, whole, np.array(ids)) is good
+
+
+def test_states_are_made_without_looking_for_cycles(monkeypatch):
+    own, seen = byte_bpe.Codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), []
+    plain = own.transducer.encode
+    monkeypatch.setattr(own.transducer, "encode", lambda x: seen.append(gc.isenabled()) or plain(x))
+    own.encode(["a few words"])
+    assert seen == [False] * 3 and gc.isenabled()
