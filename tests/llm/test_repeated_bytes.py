@@ -85,3 +85,16 @@ def test_expansion_finds_repeated_suffixes():
 
 def test_empty(documents, shared):
     assert rb.without_repeats(documents([]), shared).count() == 0
+
+
+def test_more_borders_than_numbers_of_16_bits():
+    """Pieces of three letters, so many that a border's number takes more than 16 bits."""
+    rng = np.random.default_rng(2)
+    n = 33000
+    text = rng.integers(97, 100, (n, 4)).astype(np.uint8)
+    text[:, 3] = 0
+    text[0, :3] = (120, 121, 122)
+    border = np.zeros((n, 4), np.int64)
+    border[:, 3] = np.arange(1, n + 1)
+    got = rb.repeated_suffixes(text.ravel(), border.ravel(), 3).reshape(n, 4)
+    assert not got[0].any() and got[1:, 0].all() and not got[:, 1:].any()
